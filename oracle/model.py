@@ -6,7 +6,7 @@ import re
 
 from tillsight.sources.testdata import DERIVED, MODELS
 
-RELATION = re.compile(r"\{(\w+)\}")
+RELATION = re.compile(r"\{([a-z]\w*)\}")
 
 
 def native(expr: str) -> str:

@@ -48,14 +48,12 @@ def named_totals(df: DataFrame, names: str, values: str, picks: dict[str, str])
     found by filtering instead of building a map, which would reject duplicates.
     """
     pairs = F.arrays_zip(F.col(names).alias("name"), F.col(values).alias("value"))
-    return df.withColumns(
-        {
-            out: F.try_element_at(
-                F.filter(pairs, lambda p, n=name: p[names] == F.lit(n)), F.lit(-1)
-            )[values]
-            for out, name in picks.items()
-        }
-    )
+
+    def last_value(wanted: str) -> Column:
+        hits = F.filter(pairs, lambda pair: pair["name"] == F.lit(wanted))
+        return F.try_element_at(hits, F.lit(-1))["value"]
+
+    return df.withColumns({out: last_value(name) for out, name in picks.items()})
 
 
 def join_lines(df: DataFrame, lines: str, out: str, separator: str = ",") -> DataFrame:

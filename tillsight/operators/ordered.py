@@ -82,7 +82,7 @@ def next_row(
     keys = list(keys)
     cut = df.withColumn("_bucket", bucket).withColumn("_payload", F.struct(*payload))
     local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    here = cut.withColumn("_next", F.lead("_payload").over(local))
+    here = cut.withColumn("_lead", F.lead("_payload").over(local))
     firsts = cut.groupBy(*keys, "_bucket").agg(
         F.min(F.struct(*order, F.col("_payload").alias("_payload")))["_payload"].alias("_first")
     )
@@ -90,8 +90,8 @@ def next_row(
     carry = firsts.withColumn("_carry", F.lead("_first").over(by_bucket))
     return (
         _attach(here, carry, keys, "_carry")
-        .withColumn(out, F.coalesce("_next", "_carry"))
-        .drop("_bucket", "_payload", "_next", "_carry")
+        .withColumn(out, F.coalesce("_lead", "_carry"))
+        .drop("_bucket", "_payload", "_lead", "_carry")
     )
 
 

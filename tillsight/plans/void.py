@@ -72,7 +72,8 @@ def full_rebate_flag(rebates: DataFrame, sale: DataFrame, returns: DataFrame) ->
         & (F.col("ExtendedAmount") == 0.0)
     )
     return (
-        rebates.join(item_amounts(sale, returns), LINE_BY_NUMBER)
+        rebates.select(*LINE_BY_NUMBER, "RuleDescription", "NewPrice")
+        .join(item_amounts(sale, returns), LINE_BY_NUMBER)
         .groupBy(*RECEIPT_BY_NUMBER)
         .agg(F.max(F.when(hit, 1).otherwise(0)).alias("Rebate100Percent"))
     )
