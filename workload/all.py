@@ -5,7 +5,7 @@ from __future__ import annotations
 from oracle.model import with_model
 from oracle.rules import VIEWS, sql
 from oracle.typed import with_plain_types
-from workload import rules  # noqa: F401
+from workload import control, ingest, operators, publish, rules, storage  # noqa: F401
 from workload.registry import ENTRIES, runnable
 
 
