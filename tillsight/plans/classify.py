@@ -126,6 +126,12 @@ def price_check(
     )
 
 
+#: Columns shared by both line keys. Lines hashed on these meet children of either key
+#: without moving again (see ``session.SQL_SETTINGS``), and because the line number is
+#: among them even a receipt with very many lines spreads over all tasks.
+LINE_SPREAD = ["RetailStoreID", "WorkstationID", "ReceiptDateTime", "LineItemSequenceNumber"]
+
+
 def line_summary(
     lineitemderived: DataFrame,
     sale: DataFrame,
@@ -141,7 +147,7 @@ def line_summary(
     """
     rewarded = loyalty.where(F.col("PointsAwarded").isNotNull())
     lines = (
-        with_items(lineitemderived, sale, returns)
+        with_items(lineitemderived.repartition(*LINE_SPREAD), sale, returns)
         .join(present(rewarded, LINE, "rewarded"), LINE, "left")
         .join(net_modifiers(modifiers), LINE_BY_NUMBER, "left")
         .join(present(slip_addons(addons), LINE_BY_NUMBER, "has_slip"), LINE_BY_NUMBER, "left")

@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a join may reuse a partitioning on part of its keys instead of shuffling again
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -295,6 +295,11 @@ MODELS: dict[str, Model] = {
                 "SaleReturnFlag": "case when IsReturn then 0 else 1 end",
             },
         ),
+        keep=LINE_KEY
+        + (
+            "PriceModifierSequenceNumber", "AmountAction", "AmountValue", "PromotionID", "PreviousPrice",
+            "NewPrice", "ReasonCode", "RebateID", "RuleDescription", "SaleReturnFlag",
+        ),
     ),
     "addon": Model(
         "position_addon",

@@ -119,3 +119,8 @@ def wide_table(t: TestTables, name: str) -> DataFrame:
         )
         out[TOTAL_VALUES] = "transform(array(1, 2, 3, 4), i -> cast((k % 100) * i * 5e-1 as string))"
     return receipts.selectExpr(*[f"{for_spark(e)} as `{p}`" for p, e in out.items()])
+
+
+def stored_wide_table(t: TestTables, name: str) -> DataFrame:
+    """The wide rows as a source file, written once per session and directory."""
+    return t.keep(f"wide_{name}", lambda: wide_table(t, name))

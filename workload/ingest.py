@@ -23,7 +23,7 @@ from tillsight.plans.ingest import (
     item_spec,
     position_addon_spec,
 )
-from tillsight.sources.widedata import MEANING, leaf, wide_table
+from tillsight.sources.widedata import MEANING, leaf, stored_wide_table as wide_table
 from workload.registry import query
 
 KEYS = {
