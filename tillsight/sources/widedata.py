@@ -97,6 +97,9 @@ def wide_table(t: TestTables, name: str) -> DataFrame:
         receipts = receipts.join(lines, "k", "left")
     else:
         receipts = receipts.selectExpr("*", _entries("k % 3") + " as ns")
+    # building nested text costs far more than moving the receipts
+    spread = max(t.spark.sparkContext.defaultParallelism, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    receipts = receipts.repartition(spread, "k")
     key_text = {f.path: f"cast({f.name} as string)" for f in KEYS}
     out = {**key_text, **{p: f"cast({e} as string)" for p, e in KIND.items()}}
     for spec, side in parts(name):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillsight.plans import classify, empties, followup, masterdata, pricelookup, receiptvoid, suspended, void
+from tillsight.plans import classify, daily, empties, followup, masterdata, pricelookup, receiptvoid, void
 from workload.registry import query
 from workload.stages import stage, with_stages
 
@@ -129,13 +129,13 @@ def _(t):
 
 @query("void_tender_code", "select * from {tender_codes}")
 def _(t):
-    return receiptvoid.tender_codes(receiptvoid.void_followup(stage(t, "booked")), t["tender"])
+    return receiptvoid.tender_codes(stage(t, "void_followup"), t["tender"])
 
 
 def _unmatched(t, intended=False):
-    lines = stage(t, "booked")
+    with_stages(t, "booked", "void_followup")
     return receiptvoid.unmatched_codes(
-        lines, receiptvoid.void_followup(lines), t["tender"], t["stores"], t["header"], intended
+        t["booked"], t["void_followup"], t["tender"], t["stores"], t["header"], intended
     )
 
 
@@ -155,12 +155,9 @@ def class_texts(t):
 
 
 def void_report(t):
-    with_stages(t, "classification")
-    matched = receiptvoid.void_followup(stage(t, "booked"))
-    codes = receiptvoid.tender_codes(matched, t["tender"]).unionByName(_unmatched(t))
-    return receiptvoid.void_report(
-        codes, t["retailheader"], t["classification"], t["header"], class_texts(t)
-    )
+    with_stages(t, "classification", "booked", "void_followup")
+    t["class_texts"] = class_texts(t)
+    return daily.receiptvoiding(t)
 
 
 @query("void_report", "select * from {void_report}")
@@ -213,10 +210,7 @@ def _(t):
 
 
 def suspended_report(t):
-    with_stages(t, "classification", "empties")
-    return suspended.suspended_receipts(
-        t["headeraddon"], t["retailheader"], t["header"], t["classification"], t["empties"]
-    )
+    return daily.suspendedfraud(with_stages(t, "classification", "empties"))
 
 
 @query("suspended_match", "select * from {suspended}")

@@ -5,9 +5,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillsight.plans import classify, empties, receiptvoid, void
+from tillsight.plans.daily import RULE_STEPS
 from tillsight.sources.testdata import TestTables
 
+BUILD = dict(RULE_STEPS)
+
+#: earlier results a step reads
+NEEDS = {
+    "classification": ("lineitemderived",),
+    "booked": ("lineitemderived", "classification"),
+    "void_followup": ("booked",),
+    "empties": ("lineitemderived", "classification"),
+}
+
 
 def with_stages(t: TestTables, *names: str) -> TestTables:
     for name in names:
@@ -16,31 +26,4 @@ def with_stages(t: TestTables, *names: str) -> TestTables:
 
 
 def stage(t: TestTables, name: str) -> DataFrame:
-    return t.keep(name, lambda: _BUILD[name](t))
-
-
-def _derived(t: TestTables) -> DataFrame:
-    return void.propagate_voids(t["lineitem"], t["sale"], t["return"])
-
-
-def _classification(t: TestTables) -> DataFrame:
-    return classify.classify_all(with_stages(t, "lineitemderived"))
-
-
-def _booked(t: TestTables) -> DataFrame:
-    with_stages(t, "lineitemderived", "classification")
-    return receiptvoid.booked_lines(
-        t["lineitemderived"], t["sale"], t["return"], t["retailheader"], t["classification"]
-    )
-
-
-def _empties(t: TestTables) -> DataFrame:
-    return empties.empties_report(with_stages(t, "lineitemderived", "classification"))
-
-
-_BUILD = {
-    "lineitemderived": _derived,
-    "classification": _classification,
-    "booked": _booked,
-    "empties": _empties,
-}
+    return t.keep(name, lambda: BUILD[name](with_stages(t, *NEEDS.get(name, ()))))
