@@ -53,12 +53,16 @@ def snapshot_batches(spark: SparkSession, root: str, table: str) -> list[int]:
     return sorted(found)
 
 
-def latest_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The newest completely written batch of a snapshot table."""
+def latest_snapshot(
+    spark: SparkSession, root: str, table: str, schema: StructType | None = None
+) -> DataFrame:
+    """The newest completely written batch of a snapshot table. Give the schema where the
+    batch may be empty or the type of the partition column matters."""
     batches = snapshot_batches(spark, root, table)
     if not batches:
         raise FileNotFoundError(f"{root}/{table} holds no finished batch")
-    return spark.read.parquet(f"{root}/{table}/{batches[-1]}")
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root}/{table}/{batches[-1]}")
 
 
 def unprocessed_files(candidates: DataFrame, register: DataFrame, name: str = "part_filename") -> DataFrame:
