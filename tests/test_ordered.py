@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tillsight.operators.ordered import as_of, global_row_number, next_row, running_position, time_bucket
+from tillsight.operators.ordered import as_of, global_row_number, min_after, next_row, running_position, time_bucket
 
 START = datetime(2024, 1, 1)
 
@@ -84,3 +84,15 @@ def test_global_row_number(spark):
     df = spark.createDataFrame([(w,) for w in words], "word string")
     got = {r.word: r.n for r in global_row_number(df, "word", "n").collect()}
     assert got == {w: i + 1 for i, w in enumerate(sorted(words))}
+
+
+def test_min_after_equals_brute_force(spark, df):
+    right_rows = events(3, 120)
+    right = spark.createDataFrame(right_rows, "key int, seen timestamp, code int")
+    got = min_after(df, right, ["key"], "at", "seen", "code", "least")
+    want = [
+        (i, min((c for k, s, c in right_rows if k == key and s > at), default=None))
+        for key, at, i in events(1, 400)
+    ]
+    order = lambda r: tuple((v is not None, str(v)) for v in r)
+    assert rows(got, "id", "least") == sorted(want, key=order)

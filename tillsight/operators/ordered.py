@@ -164,6 +164,43 @@ def as_of(
     )
 
 
+def min_after(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_time: str,
+    right_time: str,
+    value: str,
+    out: str,
+) -> DataFrame:
+    """Smallest ``value`` among all right rows strictly after each left row, within equal
+    ``keys``; null if there is none. A running minimum over the merged rows, so that left
+    and right rows of a key are never paired up."""
+    keys = list(keys)
+    own = [c for c in left.columns if c not in keys]
+    values = right.dropna(subset=[*keys, right_time]).select(
+        *keys, F.col(right_time).alias("_t"), F.col(value).alias("_value")
+    )
+    left_rows = left.select(*keys, F.col(left_time).alias("_t"), F.struct(*own).alias("_left"))
+    rows = left_rows.unionByName(values, allowMissingColumns=True).withColumn(
+        "_bucket", time_bucket("_t")
+    )
+    from_end = [F.col("_t").desc(), F.col("_left").isNull().cast("int")]
+    local = Window.partitionBy(*keys, "_bucket").orderBy(*from_end).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    here = rows.withColumn("_near", F.min("_value").over(local)).where(F.col("_left").isNotNull())
+    per_bucket = rows.groupBy(*keys, "_bucket").agg(F.min("_value").alias("_least"))
+    later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    carry = per_bucket.withColumn("_carry", F.min("_least").over(later))
+    least = F.when(F.col("_t").isNotNull(), F.least("_near", "_carry"))
+    return _attach(here, carry, keys, "_carry").select(
+        *keys, *[F.col("_left")[c].alias(c) for c in own], least.alias(out)
+    )
+
+
 def global_row_number(df: DataFrame, order: str, out: str, prefix: int = 2) -> DataFrame:
     """Number all rows 1, 2, ... by a text column without sending them through one task:
     rows are cut by the leading characters, only one count per prefix is totalled up."""

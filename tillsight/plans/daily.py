@@ -52,6 +52,7 @@ def suspendedfraud(t: Tables) -> DataFrame:
 RULE_STEPS = [
     ("lineitemderived", lineitemderived),
     ("classification", classify.classify_all),
+    ("lookups", pricelookup.enriched_lookups),
     ("pricelookup", pricelookup.price_lookups),
     ("booked", booked),
     ("void_followup", void_followup),

@@ -10,7 +10,7 @@ from tillsight.functions.rules import Rule, first_match
 from tillsight.functions.scalars import business_day
 from tillsight.operators.dedup import dedup_by_key
 from tillsight.operators.joins import pivot_values
-from tillsight.operators.ordered import as_of
+from tillsight.operators.ordered import as_of, min_after
 from tillsight.plans.classify import LOOKUP, LOOKUP_FUNCTION_ID
 
 LANE = ["RetailStoreID", "WorkstationID"]
@@ -142,13 +142,10 @@ def flag_lookups(
     lines = lineitem.select(
         *LANE, "SequenceNumber", business_day("ReceiptDateTime").alias("_day"),
         "LineItemSequenceNumber", "LineItemBeginDateTime",
-    )
-    first_line = (
-        looked.select(*spot, "ReceiptDateTime").distinct()
-        .join(lines, spot)
-        .where(F.col("LineItemBeginDateTime") > F.col("ReceiptDateTime"))
-        .groupBy(*spot, "ReceiptDateTime")
-        .agg(F.min("LineItemSequenceNumber").alias("minLineItemSequenceNumber"))
+    ).join(looked.select(*spot).distinct(), spot, "left_semi")
+    first_line = min_after(
+        looked.select(*spot, "ReceiptDateTime").distinct(), lines, spot, "ReceiptDateTime",
+        "LineItemBeginDateTime", "LineItemSequenceNumber", "minLineItemSequenceNumber",
     )
     code = [*RECEIPT, "LineItemSequenceNumber", "POSItemID", "MerchandiseHierarchyLevel"]
     items = sale.select(*code).unionByName(returns.select(*code)).distinct()
@@ -192,12 +189,15 @@ def final_lookups(flagged: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def price_lookups(t) -> DataFrame:
-    """The whole chain over model tables and the ``classification``."""
-    events = lookup_events(t["functionlog"])
-    attached = attach_receipts(events, t["retailheader"])
-    enriched = enrich(
+def enriched_lookups(t) -> DataFrame:
+    """Lookups with receipt, employee, article and product group."""
+    attached = attach_receipts(lookup_events(t["functionlog"]), t["retailheader"])
+    return enrich(
         attached, t["retailheader"], t["header"], t["articles"], t["hierarchy"], t["stores"]
     )
-    flagged = flag_lookups(enriched, t["lineitem"], t["sale"], t["return"], t["classification"])
-    return final_lookups(flagged, events)
+
+
+def price_lookups(t) -> DataFrame:
+    """Final table from the written ``lookups`` and the ``classification``."""
+    flagged = flag_lookups(t["lookups"], t["lineitem"], t["sale"], t["return"], t["classification"])
+    return final_lookups(flagged, lookup_events(t["functionlog"]))

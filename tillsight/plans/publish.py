@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +17,19 @@ from tillsight.plans.void import full_rebate_flag, void_counters, voided_is_last
 from tillsight.sources.lookups import TRANSACTION_STATUS, TRANSACTION_TYPE
 
 Dictionaries = dict[str, tuple[DataFrame, str, str]]
+Store = Callable[[str, DataFrame], DataFrame]
+
+
+def _in_place(name: str, extended: DataFrame) -> DataFrame:
+    return extended
 
 
 def publish_lineitem(
-    lineitem: DataFrame, sale: DataFrame, returns: DataFrame, dictionaries: Dictionaries
+    lineitem: DataFrame,
+    sale: DataFrame,
+    returns: DataFrame,
+    dictionaries: Dictionaries,
+    store: Store = _in_place,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Lines with void position, reappearance and derived void, entry method encoded."""
     last = voided_is_last(lineitem, sale, returns).select(*LINE_BY_NUMBER, "VoidedIsLastItem")
@@ -26,7 +37,7 @@ def publish_lineitem(
         *LINE_BY_NUMBER, "EntryMethod", "VoidFlag", "LineItemBeginDateTime", "DirectVoidFlag",
         "Amount", "VoidedIsLastItem", "VoidedIsInFollowup", "VoidFlagDerived",
     )
-    return encode_columns(lines, dictionaries, ["EntryMethod"])
+    return encode_columns(lines, dictionaries, ["EntryMethod"], store)
 
 
 HEADER_COLUMNS = [
@@ -120,13 +131,18 @@ def merge_sale_return(sale: DataFrame, returns: DataFrame) -> DataFrame:
 
 
 def publish_salereturn(
-    sale: DataFrame, returns: DataFrame, articles: DataFrame, stores: DataFrame, dictionaries: Dictionaries
+    sale: DataFrame,
+    returns: DataFrame,
+    articles: DataFrame,
+    stores: DataFrame,
+    dictionaries: Dictionaries,
+    store: Store = _in_place,
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     store_type = stores.select(F.col("StoreID").alias("RetailStoreID"), "IsEBUSStore")
     resolved = resolve_item_codes(merge_sale_return(sale, returns), articles).join(
         store_type, "RetailStoreID"
     )
-    return encode_columns(resolved, dictionaries, ["ItemType"])
+    return encode_columns(resolved, dictionaries, ["ItemType"], store)
 
 
 TENDER_COLUMNS = [
@@ -137,10 +153,10 @@ TENDER_COLUMNS = [
 
 
 def publish_tender(
-    tender: DataFrame, dictionaries: Dictionaries
+    tender: DataFrame, dictionaries: Dictionaries, store: Store = _in_place
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     rows = tender.select(*TENDER_COLUMNS, F.lit(None).cast("int").alias("Tip"))
-    return encode_columns(rows, dictionaries, ["CardType", "TypeCode", "TenderID"])
+    return encode_columns(rows, dictionaries, ["CardType", "TypeCode", "TenderID"], store)
 
 
 def publish_suspended(suspended: DataFrame) -> DataFrame:

@@ -479,12 +479,16 @@ class TestTables:
     def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table ``name``: built and written once per session and directory."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _stored:
+        if key not in _stored or not self._complete(_stored[key]):
             path = scratch_path(self.spark, name)
             build().write.parquet(path)
             _stored[key] = path
         return self.spark.read.parquet(_stored[key])
 
+    def _complete(self, path: str) -> bool:
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
+
     def _stored(self, name: str) -> DataFrame:
         return self.keep(name, lambda: self._build(name))
 

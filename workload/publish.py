@@ -8,6 +8,8 @@ from oracle.rules import NL5, N4
 from tillsight.operators.encode import encode, extend_dictionary
 from tillsight.plans import publish
 from tillsight.sources.lookups import SEEDS, seed
+from tillsight.sources.session import scratch_path
+from tillsight.sources.writers import write_table
 from workload.registry import query
 from workload.rules import suspended_report, void_report
 from workload.stages import stage, with_stages
@@ -17,6 +19,12 @@ def dictionaries(t, *names):
     return {n: (seed(t.spark, n), n, f"{n}Desc") for n in names}
 
 
+def lookup_store(t):
+    """Writes an extended dictionary to its lookup table and reads it back."""
+    root = scratch_path(t.spark, "lookups")
+    return lambda name, extended: t.spark.read.parquet(write_table(extended, root, name))
+
+
 def dictionary_sql(name: str, table: str) -> str:
     """Known ids, and new values counted on in text order."""
     known = ", ".join(f"({i}, '{s}')" for s, i in SEEDS[name].items())
@@ -46,7 +54,7 @@ def _(t):
     + dictionary_sql("EntryMethod", "{lineitem}") + " d on s.EntryMethod = d.text_",
 )
 def _(t):
-    out, _ = publish.publish_lineitem(t["lineitem"], t["sale"], t["return"], dictionaries(t, "EntryMethod"))
+    out, _ = publish.publish_lineitem(t["lineitem"], t["sale"], t["return"], dictionaries(t, "EntryMethod"), lookup_store(t))
     return out
 
 
@@ -109,7 +117,7 @@ def _(t):
 )
 def _(t):
     out, _ = publish.publish_salereturn(
-        t["sale"], t["return"], t["articles"], t["stores"], dictionaries(t, "ItemType")
+        t["sale"], t["return"], t["articles"], t["stores"], dictionaries(t, "ItemType"), lookup_store(t)
     )
     return out
 
@@ -122,7 +130,7 @@ def _(t):
     + dictionary_sql("CardType", "{tender}") + " c on t.CardType = c.text_",
 )
 def _(t):
-    out, _ = publish.publish_tender(t["tender"], dictionaries(t, "CardType", "TypeCode", "TenderID"))
+    out, _ = publish.publish_tender(t["tender"], dictionaries(t, "CardType", "TypeCode", "TenderID"), lookup_store(t))
     return out
 
 

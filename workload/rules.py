@@ -89,37 +89,27 @@ def _(t):
     return pricelookup.lookup_events(t["functionlog"])
 
 
-def _attached(t):
-    return pricelookup.attach_receipts(pricelookup.lookup_events(t["functionlog"]), t["retailheader"])
-
-
-def _enriched(t):
-    return pricelookup.enrich(
-        _attached(t), t["retailheader"], t["header"], t["articles"], t["hierarchy"], t["stores"]
-    )
-
-
 @query("pricelookup_attach", "select * from {attached}")
 def _(t):
-    return _attached(t)
+    return pricelookup.attach_receipts(pricelookup.lookup_events(t["functionlog"]), t["retailheader"])
 
 
 @query("pricelookup_enrich", "select * from {enriched}")
 def _(t):
-    return _enriched(t)
+    return pricelookup.enriched_lookups(t)
 
 
 @query("pricelookup_flag", "select * from {flagged}")
 def _(t):
-    with_stages(t, "classification")
+    with_stages(t, "lookups", "classification")
     return pricelookup.flag_lookups(
-        _enriched(t), t["lineitem"], t["sale"], t["return"], t["classification"]
+        t["lookups"], t["lineitem"], t["sale"], t["return"], t["classification"]
     )
 
 
 @query("pricelookup_final", "select * from {lookups}")
 def _(t):
-    return pricelookup.price_lookups(with_stages(t, "classification"))
+    return pricelookup.price_lookups(with_stages(t, "lookups", "classification"))
 
 
 @query("void_followup_match", "select * from {followup}")
