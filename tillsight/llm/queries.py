@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import decontaminate, exactdedup, mixing, secretscan, simhash, urlfilter, warc
+from tillsight.llm import decontaminate, exactdedup, langid, mixing, quality, secretscan, simhash, tokencount, urlfilter, warc
 from tillsight.llm.common import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(_table(spark, sf_dir, "documents"), tokencount.read_vocabulary())
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -42,14 +46,28 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(_table(spark, sf_dir, "pages"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "archive")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
     return warc.index(warc.read_archive(spark, path))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identified(docs, langid.train(docs))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_simhash, op2_secrets, op3_decontaminate, op5_exact_dedup, op6_mixture, op7_url_filter, op9_warc)
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_secrets, op3_decontaminate, op4_token_counts, op5_exact_dedup,
+        op6_mixture, op7_url_filter, op8_quality, op9_warc, op10_language,
+    )
 }
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
