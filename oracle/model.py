@@ -10,7 +10,8 @@ RELATION = re.compile(r"\{([a-z]\w*)\}")
 
 
 def native(expr: str) -> str:
-    return expr.replace("@ts(", "make_timestamp(")
+    each = re.sub(r"@each\((\d+)\)", r"unnest(generate_series(1, \1))", expr)
+    return each.replace("@ts(", "make_timestamp(")
 
 
 def quoted(name: str) -> str:

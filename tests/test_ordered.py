@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from datetime import datetime, timedelta
 
@@ -76,14 +77,39 @@ def test_hot_key_is_split(df):
     plan = running_position(df, ["key"], ["at", "id"], time_bucket("at"), "pos")
     text = plan._jdf.queryExecution().executedPlan().toString()
     row_windows = [x for x in text.splitlines() if "row_number" in x and "Window" in x]
-    assert row_windows and all("_bucket" in x for x in row_windows)
+    assert row_windows and all("_cell" in x for x in row_windows)
+
+
+def test_rows_are_moved_once(spark, df):
+    """One exchange of the rows each: window and join use the same partitioning, null keys too."""
+    right = df.select("key", F.col("at").alias("seen"), F.col("id").alias("code"))
+    made = {
+        "running": running_position(df, ["key"], ["at", "id"], time_bucket("at"), "out"),
+        "next": next_row(df, ["key"], ["at", "id"], time_bucket("at"), ["id"], "out"),
+        "as_of": as_of(df, right, ["key"], "at", "seen", ["code"]),
+        "min_after": min_after(df, right, ["key"], "at", "seen", "code", "out"),
+    }
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, frame in made.items():
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+            # rows by cell; cells by cell, by key, and by cell again
+            assert len(exchanges) == 4, (name, plan)
+            assert "isnull(key" not in plan and "coalesce(key" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_global_row_number(spark):
     words = [f"{c}{d}x" for c in "ba" for d in range(20)]
     df = spark.createDataFrame([(w,) for w in words], "word string")
     got = {r.word: r.n for r in global_row_number(df, "word", "n").collect()}
-    assert got == {w: i + 1 for i, w in enumerate(sorted(words))}
+    by_hash = sorted(words, key=lambda w: (hashlib.md5(w.encode()).hexdigest()[:3], w))
+    assert got == {w: i + 1 for i, w in enumerate(by_hash)}
+    plan = global_row_number(df, "word", "n")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
 def test_min_after_equals_brute_force(spark, df):

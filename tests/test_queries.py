@@ -7,6 +7,9 @@ import pytest
 from tests.compare import connection, differences
 from workload.all import all_queries, all_sql
 
+#: what they look for is too rare to occur at the smallest scale; it does at 0.01
+FEW = {"having_filter", "join_range_later", "void_followup_match", "void_tender_code"}
+
 QUERIES = all_queries()
 SQL = all_sql()
 
@@ -24,7 +27,7 @@ def test_every_query_has_sql():
 def test_query_matches_sql(spark, sf_dir, con, name):
     only_spark, only_sql, count = differences(QUERIES[name](spark, sf_dir), con, SQL[name])
     assert not only_spark and not only_sql, (only_spark[:2], only_sql[:2])
-    assert count >= 0
+    assert count > 0 or name in FEW, "no row on either side proves nothing"
 
 
 def test_entry(spark):

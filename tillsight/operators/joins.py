@@ -65,14 +65,20 @@ def pivot_values(
 
     ``columns`` maps a name in the data to its output column; ``carry`` columns are
     taken from the rows of the first name. A name that occurs several times for one key
-    yields every combination. Each row is shuffled once, on ``keys``; the joins in
-    between are co-partitioned, and adaptive execution can split a hot key.
+    yields every combination; rows with a null among the keys go. The rows are read and
+    shuffled once: the distinct values of each name are gathered per key, which is as few
+    as one line has, and then spread out.
     """
-    out = None
-    for n, alias in columns.items():
-        extra = carry if out is None else ()
-        part = (
-            df.where(F.col(name) == n).select(*keys, *extra, F.col(value).alias(alias)).distinct()
-        )
-        out = part if out is None else out.join(part, list(keys))
-    return out
+    first = next(iter(columns))
+
+    def values(n: str, alias: str):
+        parts = [F.col(value).alias(alias), *(carry if n == first else ())]
+        return F.collect_set(F.when(F.col(name) == n, F.struct(*parts))).alias(f"_{alias}")
+
+    wide = df.where(F.col(name).isin(*columns)).dropna(subset=list(keys)).groupBy(*keys)
+    out = wide.agg(*[values(n, alias) for n, alias in columns.items()])
+    for alias in columns.values():
+        out = out.withColumn(f"_{alias}", F.explode(f"_{alias}"))
+    picked = [F.col(f"_{alias}")[alias].alias(alias) for alias in columns.values()]
+    carried = [F.col(f"_{columns[first]}")[c].alias(c) for c in carry]
+    return out.select(*keys, *carried, *picked)

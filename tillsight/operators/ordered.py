@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: an hour of one lane is a few hundred rows even in a very busy store
+#: width of a time bucket: an hour of one lane is a few hundred rows even in a very busy store;
+#: callers with more rows per key and hour pass a smaller width
 BUCKET_SECONDS = 3600
 
 
@@ -22,15 +23,21 @@ def time_bucket(ts, seconds: int = BUCKET_SECONDS) -> Column:
     return F.floor(F.unix_seconds(c) / F.lit(seconds))
 
 
-def _attach(rows: DataFrame, per_bucket: DataFrame, keys: Sequence[str], extra: str) -> DataFrame:
-    """Left join a one-row-per-bucket column onto the rows, nulls in keys matching."""
-    side = per_bucket.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b"), extra
-    )
-    cond = F.col("_bucket").eqNullSafe(F.col("_b"))
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return rows.join(side, cond, "left").drop("_b", *[f"_k_{k}" for k in keys])
+def _cut(rows: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    """Adds the cell of each row, its keys and bucket as one struct. A struct is never null
+    and structs with equal nulls are equal, so windows and joins by it agree on null keys and
+    need one and the same partitioning."""
+    return rows.withColumn("_cell", F.struct(*keys, bucket.alias("_bucket")))
+
+
+def _of(keys: Sequence[str]) -> list[Column]:
+    """The keys within the cell."""
+    return [F.col("_cell")[k] for k in keys]
+
+
+def _attach(rows: DataFrame, per_cell: DataFrame, extra: str) -> DataFrame:
+    """Left join a column that has one row per cell onto the rows, which stay where they are."""
+    return rows.join(per_cell.select("_cell", extra), "_cell", "left")
 
 
 def running_position(
@@ -46,23 +53,23 @@ def running_position(
     ``bucket`` must be a non-decreasing function of the first order column.
     """
     keys = list(keys)
-    cut = df.withColumn("_bucket", bucket)
-    local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    cut = _cut(df, keys, bucket)
+    local = Window.partitionBy("_cell").orderBy(*order)
     position = F.dense_rank() if dense else F.row_number()
     ranked = cut.withColumn("_local", position.over(local))
     if dense:
-        distinct = cut.select(*keys, "_bucket", *[c for c in order if c not in keys]).distinct()
-        sizes = distinct.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+        distinct = cut.select("_cell", *[c for c in order if c not in keys]).distinct()
+        sizes = distinct.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
     else:
-        sizes = cut.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
+        sizes = cut.groupBy("_cell").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(*_of(keys)).orderBy(F.col("_cell")["_bucket"]).rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
     return (
-        _attach(ranked, offsets, keys, "_offset")
+        _attach(ranked, offsets, "_offset")
         .withColumn(out, F.col("_local") + F.col("_offset"))
-        .drop("_bucket", "_local", "_offset")
+        .drop("_cell", "_local", "_offset")
     )
 
 
@@ -80,18 +87,18 @@ def next_row(
     next bucket that has any.
     """
     keys = list(keys)
-    cut = df.withColumn("_bucket", bucket).withColumn("_payload", F.struct(*payload))
-    local = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    cut = _cut(df, keys, bucket).withColumn("_payload", F.struct(*payload))
+    local = Window.partitionBy("_cell").orderBy(*order)
     here = cut.withColumn("_lead", F.lead("_payload").over(local))
-    firsts = cut.groupBy(*keys, "_bucket").agg(
+    firsts = cut.groupBy("_cell").agg(
         F.min(F.struct(*order, F.col("_payload").alias("_payload")))["_payload"].alias("_first")
     )
-    by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
+    by_bucket = Window.partitionBy(*_of(keys)).orderBy(F.col("_cell")["_bucket"])
     carry = firsts.withColumn("_carry", F.lead("_first").over(by_bucket))
     return (
-        _attach(here, carry, keys, "_carry")
+        _attach(here, carry, "_carry")
         .withColumn(out, F.coalesce("_lead", "_carry"))
-        .drop("_bucket", "_payload", "_lead", "_carry")
+        .drop("_cell", "_payload", "_lead", "_carry")
     )
 
 
@@ -128,16 +135,14 @@ def as_of(
     right_rows = rights.select(
         *keys, "_t", F.lit(None).cast(left_rows.schema["_left"].dataType).alias("_left"), "_right"
     )
-    rows = left_rows.unionByName(right_rows).withColumn(
-        "_bucket", time_bucket("_t", bucket_seconds)
-    )
+    rows = _cut(left_rows.unionByName(right_rows), keys, time_bucket("_t", bucket_seconds))
     # walking away from the wanted side, a left row must come before right rows of its time
     side = F.col("_right").isNotNull().cast("int")
     if forward:
         order = [F.col("_t").desc(), side, F.col("_right").desc()]
     else:
         order = [F.col("_t").asc(), side, F.col("_right").asc()]
-    local = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(
+    local = Window.partitionBy("_cell").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     here = (
@@ -146,14 +151,14 @@ def as_of(
     )
     edge = (F.min if forward else F.max)("_right").alias("_edge")
     per_bucket = (
-        rows.select(*keys, "_bucket", "_right").groupBy(*keys, "_bucket").agg(edge)
+        rows.select("_cell", "_right").groupBy("_cell").agg(edge)
     )
-    bucket_order = F.col("_bucket").desc() if forward else F.col("_bucket").asc()
-    seen = Window.partitionBy(*keys).orderBy(bucket_order).rowsBetween(
+    of = F.col("_cell")["_bucket"]
+    seen = Window.partitionBy(*_of(keys)).orderBy(of.desc() if forward else of.asc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
     carry = per_bucket.withColumn("_carry", F.last("_edge", ignorenulls=True).over(seen))
-    found = _attach(here, carry, keys, "_carry").withColumn(
+    found = _attach(here, carry, "_carry").withColumn(
         "_hit", F.when(F.col("_t").isNotNull(), F.coalesce("_near", "_carry"))
     )
     return found.select(
@@ -172,6 +177,7 @@ def min_after(
     right_time: str,
     value: str,
     out: str,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Smallest ``value`` among all right rows strictly after each left row, within equal
     ``keys``; null if there is none. A running minimum over the merged rows, so that left
@@ -182,28 +188,34 @@ def min_after(
         *keys, F.col(right_time).alias("_t"), F.col(value).alias("_value")
     )
     left_rows = left.select(*keys, F.col(left_time).alias("_t"), F.struct(*own).alias("_left"))
-    rows = left_rows.unionByName(values, allowMissingColumns=True).withColumn(
-        "_bucket", time_bucket("_t")
+    rows = _cut(
+        left_rows.unionByName(values, allowMissingColumns=True), keys, time_bucket("_t", bucket_seconds)
     )
     from_end = [F.col("_t").desc(), F.col("_left").isNull().cast("int")]
-    local = Window.partitionBy(*keys, "_bucket").orderBy(*from_end).rowsBetween(
+    local = Window.partitionBy("_cell").orderBy(*from_end).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     here = rows.withColumn("_near", F.min("_value").over(local)).where(F.col("_left").isNotNull())
-    per_bucket = rows.groupBy(*keys, "_bucket").agg(F.min("_value").alias("_least"))
-    later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(
+    per_bucket = rows.groupBy("_cell").agg(F.min("_value").alias("_least"))
+    later = Window.partitionBy(*_of(keys)).orderBy(F.col("_cell")["_bucket"].desc()).rowsBetween(
         Window.unboundedPreceding, -1
     )
     carry = per_bucket.withColumn("_carry", F.min("_least").over(later))
     least = F.when(F.col("_t").isNotNull(), F.least("_near", "_carry"))
-    return _attach(here, carry, keys, "_carry").select(
+    return _attach(here, carry, "_carry").select(
         *keys, *[F.col("_left")[c].alias(c) for c in own], least.alias(out)
     )
 
 
-def global_row_number(df: DataFrame, order: str, out: str, prefix: int = 2) -> DataFrame:
-    """Number all rows 1, 2, ... by a text column without sending them through one task:
-    rows are cut by the leading characters, only one count per prefix is totalled up."""
-    return running_position(
-        df.withColumn("_all", F.lit(0)), ["_all"], [order], F.substring(order, 1, prefix), out
-    ).drop("_all")
+#: hexadecimal digits of a text's hash that number its bucket: 4,096 buckets whatever the texts
+HASH_DIGITS = 3
+
+
+def global_row_number(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Number all rows 1, 2, ... by (hash bucket, text) without sending them through one task.
+
+    The buckets are ranges of the text's md5, so texts that begin alike spread as evenly as
+    any; only one count per bucket is totalled up. Nulls come first, as a bucket of their own.
+    """
+    hashed = df.withColumns({"_all": F.lit(0), "_hash": F.substring(F.md5(order), 1, HASH_DIGITS)})
+    return running_position(hashed, ["_all"], ["_hash", order], F.col("_hash"), out).drop("_all", "_hash")

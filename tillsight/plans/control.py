@@ -91,12 +91,11 @@ def stores_missing_data(stores: DataFrame, received: DataFrame, at: str) -> Data
 
 
 def stores_unexpected_data(received: DataFrame, at: str) -> DataFrame:
-    """Warning for each temporarily inactive store that did send data. One row per store:
-    its first date is named."""
+    """Warning for each date on which a temporarily inactive store did send data."""
     odd = (
         received.where(F.col("Status") == TEMPORARILY_INACTIVE)
-        .groupBy("RetailStoreID")
-        .agg(F.min("Date").alias("Date"))
+        .select("RetailStoreID", "Date")
+        .distinct()
     )
     before, after = UNEXPECTED_MESSAGE
     message = F.concat(

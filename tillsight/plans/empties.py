@@ -24,11 +24,16 @@ COLUMNS = [
 ]
 
 
-def _short_number(number):
-    return F.left(F.col(number).cast("string"), F.lit(4))
+def slip_number(number: str, digits: int | None):
+    """Receipt number of a slip as text. ``digits`` cuts it, as the rule was first stated with
+    4; numbers of more digits then never meet their issue, so the default is no cut."""
+    text = F.col(number).cast("string")
+    return text if digits is None else F.left(text, F.lit(digits))
 
 
-def issued_slips(classification: DataFrame, header: DataFrame, retailheader: DataFrame) -> DataFrame:
+def issued_slips(
+    classification: DataFrame, header: DataFrame, retailheader: DataFrame, digits: int | None = None
+) -> DataFrame:
     """Receipts that hand out a deposit slip."""
     slips = classification.where(F.col("class_id") == SLIP_CLASS).select(*RECEIPT, "class_id")
     staff = header.where("TransactionType = 'RetailTransaction'").select(*RECEIPT, "EmployeeID")
@@ -40,7 +45,7 @@ def issued_slips(classification: DataFrame, header: DataFrame, retailheader: Dat
             *RECEIPT_BY_NUMBER,
             F.col("RetailStoreID").cast("string").alias("EmptiesStoreID"),
             F.col("WorkstationID").cast("string").alias("EmptiesWorkstationID"),
-            _short_number("ReceiptNumber").alias("EmptiesReceiptNumber"),
+            slip_number("ReceiptNumber", digits).alias("EmptiesReceiptNumber"),
             F.col("TransactionGrandAmount").alias("EmptiesTotal"),
             "EmployeeID",
             F.lit(None).cast("string").alias("FLAG"),
@@ -61,11 +66,12 @@ def redemptions(
     lineitemderived: DataFrame,
     returns: DataFrame,
     addons: DataFrame,
+    digits: int | None = None,
 ) -> DataFrame:
     """Returned-empties positions that refer to a slip, with how they were voided."""
     slips = pivot_values(
         addons, LINE_BY_NUMBER, "AddonKey", "AddonValue", SLIP_ADDONS, carry=["SequenceNumber"]
-    ).withColumn("EmptiesReceiptNumber", _short_number("EmptiesReceiptNumber"))
+    ).withColumn("EmptiesReceiptNumber", slip_number("EmptiesReceiptNumber", digits))
     classes = classification.where(F.col("class_id") != SLIP_CLASS).select(*RECEIPT, "class_id")
     staff = header.where("TransactionType = 'RetailTransaction'").select(*RECEIPT, "EmployeeID")
     positions = returns.where(F.col("ItemType").isin(*EMPTIES_TYPES)).select(*LINE, "ExtendedAmount")

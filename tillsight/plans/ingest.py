@@ -558,16 +558,15 @@ def build_rebate(wide: DataFrame) -> DataFrame:
 
 
 def build_customer(wide: DataFrame, numeric_account: bool = True) -> DataFrame:
-    """One customer per receipt; of several address lines the first in text order stays."""
+    """One customer per receipt, its address lines joined by commas."""
     spec = SPECS["customer"]
     if not numeric_account:
         as_text = tuple(
             Field(f.path, f.name, "string") if f.name == "AccountNumber" else f for f in spec.arrays
         )
         spec = TableSpec(spec.name, arrays=as_text, keep_empty=True, dedup=spec.dedup)
-    lines = wide.withColumn("_line", F.explode_outer(CUSTOMER_ADDRESS))
-    address = F.concat_ws(",", F.col("_line")).alias("Address")
-    return finish(flatten(lines, spec, (address,)), spec)
+    address = F.concat_ws(",", F.col(CUSTOMER_ADDRESS)).alias("Address")
+    return finish(flatten(wide, spec, (address,)), spec)
 
 
 def build_retailheader(wide: DataFrame) -> DataFrame:

@@ -139,21 +139,28 @@ def flag_lookups(
     Q no regular receipt, N the item was booked, M something was keyed in, P other."""
     looked = enriched.withColumn("_day", business_day("ReceiptDateTime"))
     spot = [*LANE, "SequenceNumber", "_day"]
-    lines = lineitem.select(
-        *LANE, "SequenceNumber", business_day("ReceiptDateTime").alias("_day"),
-        "LineItemSequenceNumber", "LineItemBeginDateTime",
-    ).join(looked.select(*spot).distinct(), spot, "left_semi")
+    # only receipts that a lookup points at take part; all line tables are narrowed to them first
+    spots = looked.select(*spot).distinct()
+
+    def near(lines: DataFrame) -> DataFrame:
+        return lines.withColumn("_day", business_day("ReceiptDateTime")).join(spots, spot, "left_semi")
+
+    lines = near(
+        lineitem.select(
+            *RECEIPT, "LineItemSequenceNumber", "LineItemBeginDateTime", "EntryMethod"
+        )
+    )
     first_line = min_after(
         looked.select(*spot, "ReceiptDateTime").distinct(), lines, spot, "ReceiptDateTime",
         "LineItemBeginDateTime", "LineItemSequenceNumber", "minLineItemSequenceNumber",
     )
     code = [*RECEIPT, "LineItemSequenceNumber", "POSItemID", "MerchandiseHierarchyLevel"]
-    items = sale.select(*code).unionByName(returns.select(*code)).distinct()
+    items = near(sale.select(*code).unionByName(returns.select(*code))).distinct()
     booked = items.join(
-        lineitem.select(*RECEIPT, "LineItemSequenceNumber", "EntryMethod"),
+        lines.select(*RECEIPT, "LineItemSequenceNumber", "EntryMethod"),
         [*RECEIPT, "LineItemSequenceNumber"], "left",
     ).select(
-        *LANE, "SequenceNumber", business_day("ReceiptDateTime").alias("_day"),
+        *LANE, "SequenceNumber", "_day",
         F.col("LineItemSequenceNumber").alias("minLineItemSequenceNumber"),
         F.col("POSItemID").cast("string").alias("_code"), "EntryMethod",
     )

@@ -165,5 +165,42 @@ def publish_suspended(suspended: DataFrame) -> DataFrame:
     return dedup_by_key(suspended, [f"{c}_suspended" for c in key])
 
 
+EMPTIES_COLUMNS = [
+    "RetailStoreID", "WorkstationID", "ReceiptDateTime", "ReceiptNumber", "EmptiesStoreID",
+    "EmptiesWorkstationID", "EmptiesReceiptNumber", "EmptiesTotal", "EmployeeID", "FLAG",
+    "Concatenated_Empties_ID", "class_id", "LineItemSequenceNumber", "IsVoided", "EmptiesTimingFlag",
+]
+
+PRICELOOKUP_COLUMNS = [
+    "RetailStoreID", "WorkstationID", "ReceiptDateTimeFL", "ReceiptDateTimeAT", "ReceiptNumberAT",
+    "ReceiptNumberFL", "EmployeeID", "PriceLookupFlag", "EAN", "ActualPrice", "ArticleDescription",
+    "MerchandiseHierarchyLevel", "MerchandiseHierachyDescription", "TransactionGrandAmount",
+    "StoreInfoID", "IsEBUS",
+]
+
+RECEIPTVOID_COLUMNS = [
+    "RetailStoreID_1", "WorkstationID_1", "SequenceNumber_1", "ReceiptDateTime_1", "ReceiptNumber_1",
+    "RetailStoreID_2", "WorkstationID_2", "SequenceNumber_2", "ReceiptDateTime_2", "ReceiptNumber_2",
+    "BonStornoFlag", "TransactionClassID_1", "TransactionClassDescr_1", "TransactionClassID_2",
+    "TransactionClassDescr_2", "TransactionGrandAmount", "NegativeTotalFlag", "Approver",
+]
+
+
+def publish_empties(empties: DataFrame) -> DataFrame:
+    return empties.select(*EMPTIES_COLUMNS)
+
+
+def publish_pricelookup(lookups: DataFrame) -> DataFrame:
+    return lookups.select(*PRICELOOKUP_COLUMNS)
+
+
+def publish_receiptvoid(report: DataFrame) -> DataFrame:
+    return report.select(*RECEIPTVOID_COLUMNS)
+
+
+def publish_hierarchy(hierarchy: DataFrame) -> DataFrame:
+    return hierarchy.select("MerchandiseHierarchyLevel", "DescriptionDE", "IsEBUS")
+
+
 def publish_articles(articles: DataFrame) -> DataFrame:
     return articles.drop("IsMainEAN").withColumnRenamed("Description", "ArticleDescription")

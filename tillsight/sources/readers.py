@@ -37,27 +37,34 @@ def read_catalog(spark: SparkSession, database: str | None, table: str) -> DataF
     return spark.table(f"{database}.{table}" if database else table)
 
 
-def snapshot_batches(spark: SparkSession, root: str, table: str) -> list[int]:
-    """Batch ids of a snapshot table. Lists one directory, reads no data."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+#: folder below a run's root with an empty file for every batch that ended without a failure
+BATCHES = "_batches"
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it is missing. Lists one directory, reads no data."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.isdigit() and fs.exists(marker):
-            found.append(int(name))
-    return sorted(found)
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def finished_batches(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the batches of which every step succeeded."""
+    return sorted(int(n) for n in _names(spark, f"{root}/{BATCHES}") if n.isdigit())
+
+
+def snapshot_batches(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Finished batches that wrote the table. What a failed or running batch has written so
+    far is not among them, so all tables are read from the same last good batch."""
+    written = {int(n) for n in _names(spark, f"{root}/{table}") if n.isdigit()}
+    return [b for b in finished_batches(spark, root) if b in written]
 
 
 def latest_snapshot(
     spark: SparkSession, root: str, table: str, schema: StructType | None = None
 ) -> DataFrame:
-    """The newest completely written batch of a snapshot table. Give the schema where the
-    batch may be empty or the type of the partition column matters."""
+    """A snapshot table as of the newest finished batch. Give the schema where the batch may
+    be empty or the type of the partition column matters."""
     batches = snapshot_batches(spark, root, table)
     if not batches:
         raise FileNotFoundError(f"{root}/{table} holds no finished batch")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,24 +23,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_fallback: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own; on a
-    cluster a machine-local path would lose data, so the setting is required there.
+    Where that is unset, a folder of this application below the warehouse, which the cluster
+    shares as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_fallback:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        _local_fallback[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return _local_fallback[app]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_scratch/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that is no longer read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

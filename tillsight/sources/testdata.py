@@ -8,6 +8,7 @@ starts from the very same input rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -103,12 +104,11 @@ MODELS: dict[str, Model] = {
                 "TrainingModeFlag": "e % 89 = 0",
                 "Date": "bday",
                 "FunctionLogStoreInfoID": "e",
-                "FunctionID": "cast(case event_type when 'view' then 12 when 'click' then 89 else 7 end as bigint)",
+                "FunctionID": "cast(case event_type when 'view' then 12 when 'click' then 89 when 'signup' then 21 when 'purchase' then 34 else 7 end as bigint)",
                 "FunctionName": "case event_type when 'view' then 'X_ARTICLE_INFORMATION' "
-                "when 'click' then 'X_PAUSE' else 'X_DRAWER' end",
+                "when 'click' then 'X_PAUSE' when 'signup' then 'X_SIGN' when 'purchase' then 'X_ORDER' else 'X_DRAWER' end",
             },
         ),
-        where="event_type in ('view', 'click', 'error')",
     ),
     # one row per receipt position
     "position": Model(
@@ -380,7 +380,6 @@ MODELS: dict[str, Model] = {
                 "IsEBUSStore": "n_nationkey % 2 = 1",
             },
         ),
-        where="n_nationkey < 12",
         keep=("StoreID", "Status", "Reason", "IsEBUSStore"),
     ),
     "articles": Model(
@@ -405,15 +404,18 @@ MODELS: dict[str, Model] = {
 
 # Sources that are more than a row-wise projection of one table; ``b_`` marks benchmark tables.
 DERIVED = {
+    # orders of which every 20th is a control transaction have no positions of their own; theirs
+    # are further positions, 10 numbers on, of the retail receipt two orders before
     "position_raw": "select * from (select *, row_number() over (partition by l_orderkey, l_linenumber "
     "order by l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, "
-    "l_linestatus, l_shipdate) as rn from {b_lineitem} where l_orderkey % 20 not in (7, 8)) q where rn = 1",
+    "l_linestatus, l_shipdate) as rn from (select case when l_orderkey % 20 in (7, 8) then l_orderkey - 2 "
+    "else l_orderkey end as l_orderkey, case when l_orderkey % 20 in (7, 8) then l_linenumber + 10 else l_linenumber end "
+    "as l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, "
+    "l_shipdate from {b_lineitem}) r) q where rn = 1",
     "position_mod": "select p.*, cast(1 as bigint) as m from {position} p where modified "
     "union all select p.*, cast(2 as bigint) as m from {position} p where second_mod",
-    "position_addon": "select p.*, s.a from {position} p cross join "
-    "(select cast(1 as bigint) as a union all select cast(2 as bigint) union all select cast(3 as bigint)) s",
-    "logevent_param": "select l.*, s.p from {logevent} l cross join "
-    "(select cast(1 as bigint) as p union all select cast(2 as bigint)) s",
+    "position_addon": "select p.*, @each(3) as a from {position} p",
+    "logevent_param": "select l.*, @each(2) as p from {logevent} l",
     "header": "select RetailStoreID, WorkstationID, SequenceNumber, ReceiptNumber, ReceiptDateTime, Date, "
     "TransactionType, EmployeeID, ApproverEmployeeID, CancelFlag, TrainingModeFlag, FunctionLogStoreInfoID, k as uid "
     "from {receipt} union all "
@@ -443,7 +445,8 @@ BASE = ("orders", "lineitem", "events", "customer", "nation", "part", "region",
 
 
 def for_spark(expr: str) -> str:
-    return expr.replace("//", " div ").replace("@ts(", "timestamp_micros(")
+    each = re.sub(r"@each\((\d+)\)", r"explode(sequence(1L, \1L))", expr)
+    return each.replace("//", " div ").replace("@ts(", "timestamp_micros(")
 
 
 #: tables written once per session and read back, as an ingest run leaves them on disk

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: how many writers share one partition value, so that one store cannot end up in one task
-WRITERS_PER_PARTITION = 8
+from tillsight.sources.readers import BATCHES
+
+#: rows of one file at most; a big store has as many files as that takes
+ROWS_PER_FILE = 5_000_000
 
 
 def write_snapshot(
@@ -17,28 +19,32 @@ def write_snapshot(
     table: str,
     batch_id: int,
     partition_by: str = "RetailStoreID",
-    spread_by: Sequence[str] | None = None,
-    writers: int = WRITERS_PER_PARTITION,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> str:
     """Write ``<root>/<table>/<batch_id>`` partitioned by store.
 
-    Rows are clustered by store before the write, so the number of files is at most
-    stores x ``writers``. A big store is spread over ``writers`` tasks by the hash of
-    the remaining columns - a function of the row, so that a repeated task writes the
-    same rows again.
+    Rows are brought together by store, and adaptive execution splits stores that exceed the
+    advisory partition size in bytes and merges small ones: a store of any size is written by
+    as many tasks as its bytes need.
     """
     path = f"{root}/{table}/{batch_id}"
-    spread = list(spread_by or [c for c in df.columns if c != partition_by][:4])
-    salt = F.pmod(F.hash(*spread), F.lit(writers)) if spread else F.lit(0)
     (
-        df.repartition(F.col(partition_by), salt)
+        df.hint("rebalance", F.col(partition_by))
         .write.partitionBy(partition_by)
+        .option("maxRecordsPerFile", rows_per_file)
         .mode("overwrite")
         .parquet(path)
     )
     return path
 
 
+def finish_batch(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Mark a batch as finished; from now on readers see its tables. Creating the empty file
+    is one step, so readers see all of them or none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{BATCHES}/{batch_id}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
+
+
 def write_table(df: DataFrame, root: str, table: str) -> str:
     """Overwrite an unpartitioned table (master data, lookups, staging results)."""
     path = f"{root}/{table}"

@@ -61,8 +61,8 @@ def _(t):
 @query(
     "stores_unexpected_data",
     f"select '{ENDED}' as EventDateTime, StoreID as RetailStoreID, 'W' as Level, 'Inactive store but received the data' as EventType, "
-    "'Store ' || StoreID || ' is temporarily inactive but still received the data for ' || cast(min(r.Date) as varchar) as EventMessage, 0 as LoadID "
-    "from {stores} join {receipt} r on r.RetailStoreID = StoreID where Status = 'Inaktiv (temp.)' and StoreID <> 2 group by StoreID",
+    "'Store ' || StoreID || ' is temporarily inactive but still received the data for ' || cast(d.Date as varchar) as EventMessage, 0 as LoadID "
+    "from {stores} join (select distinct RetailStoreID, Date from {receipt}) d on d.RetailStoreID = StoreID where Status = 'Inaktiv (temp.)' and StoreID <> 2",
 )
 def _(t):
     return control.stores_unexpected_data(received(t), ENDED)

@@ -511,9 +511,9 @@ def _(t):
     return last.select(*KEYS, "EmployeeID", "ReceiptDateTime")
 
 
-@query("win_global_number", "select c_name, row_number() over (order by c_name) as id from (select distinct c_name from customer) q")
+@query("win_global_number", "select c_name, row_number() over (order by substring(md5(c_name), 1, 3), c_name) as id from (select distinct c_name from customer) q")
 def _(t):
-    return global_row_number(t.base("customer").select("c_name").distinct(), "c_name", "id", prefix=16)
+    return global_row_number(t.base("customer").select("c_name").distinct(), "c_name", "id")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from oracle.rules import NL5, N4
 from tillsight.operators.encode import encode, extend_dictionary
 from tillsight.plans import publish
+from tillsight.plans.pricelookup import price_lookups
 from tillsight.sources.lookups import SEEDS, seed
 from tillsight.sources.session import scratch_path
 from tillsight.sources.writers import write_table
@@ -26,11 +27,11 @@ def lookup_store(t):
 
 
 def dictionary_sql(name: str, table: str) -> str:
-    """Known ids, and new values counted on in text order."""
+    """Known ids, and new values counted on in order of hash bucket and text."""
     known = ", ".join(f"({i}, '{s}')" for s, i in SEEDS[name].items())
     top = max(SEEDS[name].values())
     return (
-        f"(select id, text_ from (values {known}) v(id, text_) union all select {top} + row_number() over (order by text_), text_ "
+        f"(select id, text_ from (values {known}) v(id, text_) union all select {top} + row_number() over (order by substring(md5(text_), 1, 3), text_), text_ "
         f"from (select distinct {name} as text_ from {table} where {name} is not null) q where text_ not in (select text_ from (values {known}) v(id, text_)))"
     )
 
@@ -63,6 +64,26 @@ def _(t):
     return void_report(t)
 
 
+@query("publish_empties", "select " + ", ".join(publish.EMPTIES_COLUMNS) + " from {empties_all}")
+def _(t):
+    return publish.publish_empties(stage(t, "empties"))
+
+
+@query("publish_pricelookup", "select " + ", ".join(publish.PRICELOOKUP_COLUMNS) + " from {lookups}")
+def _(t):
+    return publish.publish_pricelookup(price_lookups(with_stages(t, "lookups", "classification")))
+
+
+@query("publish_receiptvoid", "select " + ", ".join(publish.RECEIPTVOID_COLUMNS) + " from {void_report}")
+def _(t):
+    return publish.publish_receiptvoid(void_report(t))
+
+
+@query("publish_hierarchy", "select MerchandiseHierarchyLevel, DescriptionDE, IsEBUS from {hierarchy}")
+def _(t):
+    return publish.publish_hierarchy(t["hierarchy"])
+
+
 @query(
     "publish_suspended",
     "select * exclude (pick) from (select *, row_number() over (partition by RetailStoreID_suspended, WorkStationID_suspended, ReceiptDateTime_suspended, ReceiptNumber_suspended "
