@@ -120,18 +120,22 @@ def _(t):
     root = scratch_path(t.spark, "snapshot")
     rows = t["lineitem"].select(*_LINE_COLS.split(", "))
     writers.write_snapshot(rows, root, "lineitem", 1704067200)
+    writers.finish_batch(t.spark, root, 1704067200)
     return readers.latest_snapshot(t.spark, root, "lineitem")
 
 
 @query(
     "latest_snapshot",
-    "select RetailStoreID, TransactionType, count(*) as n from {header} where SequenceNumber % 2 = 1 group by all",
+    "select RetailStoreID, TransactionType, count(*) as n from {header} group by all",
 )
 def _(t):
     root = scratch_path(t.spark, "snapshot")
     cols = t["header"].select("RetailStoreID", "SequenceNumber", "TransactionType")
-    writers.write_snapshot(cols.where("SequenceNumber % 2 = 0"), root, "header", 1704067200)
-    writers.write_snapshot(cols.where("SequenceNumber % 2 = 1"), root, "header", 1704153600)
+    earlier, unfinished = (cols.withColumn("TransactionType", F.lit(x)) for x in ("earlier", "unfinished"))
+    for batch, rows in ((1704067200, earlier), (1704153600, cols), (1704240000, unfinished)):
+        writers.write_snapshot(rows, root, "header", batch)
+        if rows is not unfinished:
+            writers.finish_batch(t.spark, root, batch)
     newest = readers.latest_snapshot(t.spark, root, "header")
     return newest.groupBy("RetailStoreID", "TransactionType").agg(F.count(F.lit(1)).alias("n"))
 
@@ -185,15 +189,20 @@ def _(t):
     from tillsight.plans.void import propagate_voids
 
     root = scratch_path(t.spark, "batches")
-    out = None
-    for batch, where in ((1, "RetailStoreID < 5"), (2, "RetailStoreID >= 5")):
+    steps = [("lineitemderived", lambda x: propagate_voids(x["lineitem"], x["sale"], x["return"]))]
+
+    def broken(x):
+        return x["lineitemderived"].withColumn("VoidFlagDerived", F.raise_error(F.lit("broken")).cast("boolean"))
+
+    # the last batch fails in its second step; what its first step wrote must not be read
+    plan = [(1, "RetailStoreID < 5", []), (2, "RetailStoreID >= 5", []), (3, "true", [("broken", broken)])]
+    for batch, where, more in plan:
         tables = {n: t[n].where(where) for n in ("lineitem", "sale", "return")}
-        status = run_batch(
-            tables, batch, root,
-            [("lineitemderived", lambda x: propagate_voids(x["lineitem"], x["sale"], x["return"]))],
-        )
-        if not status.ok:
-            raise RuntimeError(status.error)
+        status = run_batch(tables, batch, root, steps + more)
+        if status.ok == bool(more):
+            raise RuntimeError(status.error or "the broken batch counts as finished")
+    out = None
+    for batch in readers.snapshot_batches(t.spark, root, "lineitemderived"):
         part = t.spark.read.parquet(f"{root}/lineitemderived/{batch}").groupBy("RetailStoreID").agg(
             F.lit(batch).alias("batch"), F.count(F.lit(1)).alias("lines"),
             F.count_if("VoidFlagDerived").alias("voids"),
