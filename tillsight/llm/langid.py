@@ -88,12 +88,14 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str]) -> Network:
         np.zeros((len(WIDTHS), FILTERS), np.float32),
         r.normal(0, 0.1, (len(WIDTHS) * FILTERS + 1, len(languages))).astype(np.float32),
     )
+    if not len(y):
+        return net
     weights = [*net.filters, net.bias, net.layer]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     share = 1 / np.maximum(1, np.bincount(y, minlength=len(languages)))
     importance = (share / share.max()).astype(np.float32)
     columns, t = np.arange(FILTERS), 0
-    for _ in range(EPOCHS if len(y) else 0):
+    for _ in range(EPOCHS):
         order = r.permutation(len(y))
         for at in range(0, len(y), BATCH):
             rows = order[at : at + BATCH]

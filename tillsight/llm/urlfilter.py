@@ -105,18 +105,23 @@ def ratios(wanted: DataFrame, counts: DataFrame, order: int = ORDER) -> DataFram
 
 
 def limit_of(scores: DataFrame) -> float:
-    """The score at and above which URLs are allowed: the edge of a step at which the shares of
-    allowed and blocked URLs judged rightly add up to most; 0 if either is missing.
+    """The score at and above which URLs are allowed, where the shares of allowed and blocked
+    URLs judged rightly add up to most: halfway between two steps; 0 if either kind is missing.
     ``scores``: (score, action, n), counted in at most a few thousand steps."""
     steps = scores.groupBy(F.floor(F.col("score") / STEP).alias("step")).agg(
         *[F.sum(F.when(F.col("action") == c, F.col("n")).otherwise(0)).alias(c) for c in ("allow", "block")]
     )
     order = Window.orderBy("step")
     every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    right = F.sum("allow").over(order.rowsBetween(0, Window.unboundedFollowing)) / F.sum("allow").over(every)
-    right = right + F.coalesce(F.sum("block").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) / F.sum("block").over(every)
-    best = steps.select("step", right.alias("right")).where("right is not null").orderBy(F.desc("right"), F.abs("step"), "step").first()
-    return best["step"] * STEP if best else 0.0
+    total = {c: F.nullif(F.sum(c).over(every), F.lit(0)) for c in ("allow", "block")}
+    above = F.sum("allow").over(order.rowsBetween(0, Window.unboundedFollowing))
+    below = F.coalesce(F.sum("block").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    right = above / total["allow"] + below / total["block"]
+    before = F.coalesce(F.lag("step").over(order) + 1, F.col("step"))
+    limit = (F.col("step") + before) / 2
+    best = steps.select(limit.alias("limit"), right.alias("right")).where("right is not null")
+    best = best.orderBy(F.desc("right"), F.abs("limit"), "limit").first()
+    return best["limit"] * STEP if best else 0.0
 
 
 def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: list[Rule] = RULES, order: int = ORDER) -> DataFrame:
