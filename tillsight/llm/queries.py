@@ -71,13 +71,47 @@ QUERIES: dict[str, Query] = {
 }
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = f"list_filter(regexp_split_to_array({LOWER_AZ}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+SIZE = "len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))"
+LETTERS = "length(regexp_replace(coalesce(text, ''), '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+', '', 'g'))"
+SHOWN = "length(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g'))"
 SQL: dict[str, str] = {
+    "op3_decontaminate": f"""
+        with d as (select doc_id, {WORDS} as w from documents),
+        i as (select item_id, {WORDS} as w from benchmark),
+        n as (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as p from i where len(w) > 0),
+        known as (select distinct item_id, array_to_string(w[p:p + 9], ' ') as x, least(len(w), 10) as l from n),
+        spot as (select doc_id, w, l, unnest(range(1, len(w) - l + 2)) as p from d, (select distinct l from known) q),
+        hits as (select doc_id, p, a.l, item_id from (select *, array_to_string(w[p:p + l - 1], ' ') as x from spot) a join known using (x)),
+        places as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + l)) as q from hits) group by 1),
+        found as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
+                  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by 1)
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(list, '')) as items_sha256, n_hit is not null as contaminated
+        from d left join places using (doc_id) left join found using (doc_id)""",
     "op5_exact_dedup": f"""
         with d as (select doc_id, {LOWER_AZ} as t from documents),
         r as (select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
               row_number() over (partition by t order by doc_id desc nulls last) = 1 as kept, sha256(t) as text_sha256
               from d window w as (partition by t))
         select * from r""",
+    "op6_mixture": f"""
+        with d as (select doc_id, source, cast({SIZE} as bigint) as size, md5(coalesce(text, '')) as tie,
+                   -ln((cast('0x' || substring(md5(concat_ws('|', 'mix', cast(doc_id as varchar))), 1, 13) as bigint) + 0.5::double)
+                       / 4503599627370496::double) / ((1 + {LETTERS})::double / (1 + {SHOWN})) as key from documents),
+        s as (select source, cast(sum(size) as bigint) as source_size from d group by 1),
+        w as (select *, 2.0::double * source_size as cap,
+              [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight from s),
+        v as (select *, cap / weight as reach, (1.5::double * sum(source_size) over () - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0))
+              / sum(weight) over (o rows between current row and unbounded following) as level
+              from w window o as (order by cap / weight, source nulls last)),
+        l as (select level from v where level <= reach order by reach, source nulls last limit 1),
+        t as (select source, source_size, least(cap, coalesce((select level from l) * weight, cap)) as target from v),
+        e as (select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as epochs from t),
+        r as (select d.*, source_size, target, epochs, cast(floor(target) as bigint) - epochs * source_size as rest,
+              coalesce(sum(size) over (partition by d.source order by key, tie rows between unbounded preceding and 1 preceding), 0) as before
+              from d join e on d.source is not distinct from e.source)
+        select doc_id, size, source_size, target, cast(epochs * size + greatest(0, least(size, rest - before)) as bigint) as taken from r""",
     "op9_warc": """
         with p as (select page_id, sha256(coalesce(html, '')) as payload_digest, strlen(coalesce(html, '')) as payload_bytes from pages),
         f as (select *, min(page_id) over (partition by payload_digest) as first_id from p),
