@@ -42,9 +42,9 @@ where a.AddonKey = 'RECEIPT_NUMBER' and b.AddonKey = 'STORE_NUMBER' and c.AddonK
 
 _MODNET = """
 select $NL5,
-  cast(sum(case when AmountAction = 'Replace' then 0 when AmountAction = 'Subtract' then -AmountValue
-    else AmountValue end) as decimal(20,2)) as final_modifier,
-  cast(sum(case when AmountAction = 'Replace' then AmountValue else 0 end) as decimal(20,2)) as Replace_amount,
+  cast(sum(cast(round(case when AmountAction = 'Replace' then 0 when AmountAction = 'Subtract' then -AmountValue
+    else AmountValue end, 2) as decimal(20,2))) as decimal(20,2)) as final_modifier,
+  cast(sum(cast(round(case when AmountAction = 'Replace' then AmountValue else 0 end, 2) as decimal(20,2))) as decimal(20,2)) as Replace_amount,
   case when count(case when AmountAction = 'Replace' then 1 end) > 0 then 'With_Replace'
     else 'Without_Replace' end as action
 from (select distinct * from {modifier}) m group by $NL5
@@ -122,7 +122,7 @@ select $R4, """ + _RATIO_COLS + """,
   count(case when not VoidFlagDerived and g then 1 end) as n_live_g,
   count(case when e then 1 end) as n_e,
   count(case when not VoidFlagDerived and e and (Quantity > 1 or (EntryMethod = 'Keyed' and ExtendedAmount > 5)) then 1 end) as n_big,
-  sum(case when not VoidFlagDerived and e then ExtendedAmount end) as e_total,
+  sum(cast(round(case when not VoidFlagDerived and e then ExtendedAmount end, 2) as decimal(20,2))) as e_total,
   count(distinct case when not VoidFlagDerived and e then ExtendedAmount end) as n_e_amounts,
   count(case when DirectVoidFlag then 1 end) as n_direct,
   count(case when VoidFlagDerived and DirectVoidFlag then 1 end) as n_vd,
@@ -132,8 +132,8 @@ select $R4, """ + _RATIO_COLS + """,
   count(case when not VoidFlagDerived and side = 'sale' and MerchandiseHierarchyLevel = 83 then 1 end) as n_lot_sale,
   count(has_slip) as n_slip, count(rewarded) as n_points,
   count(case when PriceError then 1 end) as n_wrong,
-  sum(case when not VoidFlagDerived and side = 'return' then ExtendedAmount end) as ret_total,
-  sum(case when not VoidFlagDerived and side = 'sale' then ExtendedAmount end) as sale_total
+  sum(cast(round(case when not VoidFlagDerived and side = 'return' then ExtendedAmount end, 2) as decimal(20,2))) as ret_total,
+  sum(cast(round(case when not VoidFlagDerived and side = 'sale' then ExtendedAmount end, 2) as decimal(20,2))) as sale_total
 from (select *, side = 'return' and ItemType in """ + EMPTIES + """ as e,
   side = 'return' and ItemType not in """ + EMPTIES + """ as g from {lines}) q
 group by $R4
@@ -166,7 +166,7 @@ FLAGS = {
     "Cancel_Flag": "coalesce(cancel, 0)",
     "TrainingMode_Flag": "coalesce(training, 0)",
     "Incorrect_receipt_Flag": _f(
-        "round(abs(sale_total - ret_total), 2) <> TransactionGrandAmount or n_wrong > 0"
+        "abs(sale_total - ret_total) <> cast(round(TransactionGrandAmount, 2) as decimal(20,2)) or n_wrong > 0"
     ),
     "Void_flag": "case when is_post_void then 'Z' when voided then '1' else '0' end",
     "put_on_hold_Flag": _f("TransactionStatus in ('Suspended', 'SuspendedRetrieved')"),
@@ -527,12 +527,12 @@ _TOTALS = (
 select $N4, """ + _SLIPKEY + """, EmptiesTotal, EmployeeID, FLAG, """
     + slip_text("EmptiesStoreID", "EmptiesWorkstationID", "EmptiesReceiptNumber", "EmptiesTotal")
     + """ as Concatenated_Empties_ID, class_id, LineItemSequenceNumber, IsVoided
-from (select e.* replace (round(case when live_ > 0 then live_total else void_total end, 2) as EmptiesTotal),
+from (select e.* replace (cast(case when live_ > 0 then live_total else void_total end as double) as EmptiesTotal),
     case when d.VoidFlagDerived then 1 else 0 end as IsVoided
   from {redeemed} e
   left join (select $N4, """ + _SLIPKEY + """, count(case when not VoidFlagDerived then 1 end) as live_,
-      sum(case when not VoidFlagDerived and FLAG = 'PF' then EmptiesTotal else 0 end) as live_total,
-      sum(case when VoidFlagDerived and FLAG = 'PF' then EmptiesTotal else 0 end) as void_total
+      sum(cast(round(case when not VoidFlagDerived and FLAG = 'PF' then EmptiesTotal else 0 end, 2) as decimal(20,2))) as live_total,
+      sum(cast(round(case when VoidFlagDerived and FLAG = 'PF' then EmptiesTotal else 0 end, 2) as decimal(20,2))) as void_total
     from {redeemed} left join (select $NL5, VoidFlagDerived from {lineitemderived}) l using ($NL5)
     group by $N4, """ + _SLIPKEY + """) t using ($N4, """ + _SLIPKEY + """)
   left join (select $NL5, VoidFlagDerived from {lineitemderived}) d using ($NL5)) q
@@ -592,7 +592,7 @@ _AMOUNTS = "select $NL5, ExtendedAmount from {sale} union select $NL5, ExtendedA
 _COUNTERS = """
 select $N4, count(case when not VoidFlagDerived then 1 end) as NonVoidedItemCount,
   count(case when VoidFlag then 1 end) as VoidedItemCount,
-  sum(case when VoidFlag then b.ExtendedAmount else 0 end) as VoidedItemTotal,
+  cast(sum(cast(round(case when VoidFlag then b.ExtendedAmount else 0 end, 2) as decimal(20,2))) as double) as VoidedItemTotal,
   count(case when DirectVoidFlag then 1 end) as DirectVoidedItemCount,
   count(case when not DirectVoidFlag then 1 end) as LineVoidedItemCount
 from {lineitemderived} a join {amounts} b using ($NL5) group by $N4

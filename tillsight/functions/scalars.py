@@ -61,11 +61,15 @@ def embedded_price(item_code) -> Column:
     return cents.try_cast("int") / F.lit(100.0)
 
 
+def money(amount) -> Column:
+    """An amount in exact cents: sums of it do not depend on the order of rows."""
+    return F.round(col(amount), 2).cast("decimal(20,2)")
+
+
 def outside_tolerance(expected, actual, tolerance: str = "0.02") -> Column:
     """Money comparison on cents, so that binary fractions cannot tip the result."""
-    money = "decimal(20,2)"
-    gap = F.abs(F.round(col(expected), 2).cast(money) - F.round(col(actual), 2).cast(money))
-    return gap > F.lit(tolerance).cast(money)
+    gap = F.abs(money(expected) - money(actual))
+    return gap > F.lit(tolerance).cast("decimal(20,2)")
 
 
 def signed_amount(amount, negative_flag) -> Column:

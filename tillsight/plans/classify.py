@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.keys import LINE, LINE_BY_NUMBER, RECEIPT
 from tillsight.functions.rules import Rule, first_match
-from tillsight.functions.scalars import embedded_price, flag, is_true, outside_tolerance
+from tillsight.functions.scalars import embedded_price, flag, is_true, money, outside_tolerance
 from tillsight.operators.joins import pivot_values, present
 
 # Item types of returned empties, and the lottery product group.
@@ -38,14 +38,14 @@ def net_modifiers(modifiers: DataFrame) -> DataFrame:
     signed = F.when(F.col("AmountAction") == "Subtract", -F.col("AmountValue")).otherwise(
         F.col("AmountValue")
     )
-    money = "decimal(20,2)"
+    total = "decimal(20,2)"
     return (
         modifiers.distinct()
         .groupBy(*LINE_BY_NUMBER)
         .agg(
-            F.sum(F.when(~replace, signed).otherwise(0.0)).cast(money).alias("final_modifier"),
-            F.sum(F.when(replace, F.col("AmountValue")).otherwise(0.0))
-            .cast(money)
+            F.sum(money(F.when(~replace, signed).otherwise(0.0))).cast(total).alias("final_modifier"),
+            F.sum(money(F.when(replace, F.col("AmountValue")).otherwise(0.0)))
+            .cast(total)
             .alias("Replace_amount"),
             F.when(F.count_if(replace) > 0, "With_Replace")
             .otherwise("Without_Replace")
@@ -185,9 +185,9 @@ def line_summary(
     live_empties_amount = F.when(live & empties, amount)
     return lines.groupBy(*RECEIPT).agg(
         *[F.count_if(c).alias(f"n_{n}") for n, c in counts.items()],
-        F.sum(F.when(live & ret, amount)).alias("live_return_total"),
-        F.sum(F.when(live & sal, amount)).alias("live_sale_total"),
-        F.sum(live_empties_amount).alias("live_empties_total"),
+        F.sum(money(F.when(live & ret, amount))).alias("live_return_total"),
+        F.sum(money(F.when(live & sal, amount))).alias("live_sale_total"),
+        F.sum(money(live_empties_amount)).alias("live_empties_total"),
         F.count_distinct(live_empties_amount).alias("n_live_empties_amounts"),
         *group_ratio_columns(),
     )
@@ -285,7 +285,7 @@ def flag_rules() -> dict[str, Column]:
     return {
         "Cancel_Flag": F.col("Cancel_Flag"),
         "TrainingMode_Flag": F.col("TrainingMode_Flag"),
-        "Incorrect_receipt_Flag": flag((F.round(F.abs(net), 2) != total) | (n["wrong_price"] > 0)),
+        "Incorrect_receipt_Flag": flag((F.abs(net) != money(total)) | (n["wrong_price"] > 0)),
         "Void_flag": F.when(F.col("post_void"), "Z")
         .when(F.col("voided_later"), "1")
         .otherwise("0"),
@@ -305,7 +305,7 @@ def flag_rules() -> dict[str, Column]:
         "only_EmptiesPayOut_withAllproductgroup_flag": flag(empties_only & whole),
         "Special_Empties_Flag": flag(
             (n["special_empties"] > 0)
-            | (F.col("live_empties_total") > 20.0)
+            | (F.col("live_empties_total") > F.lit(20))
             | (n["live_empties"] > n["live_empties_amounts"])
         ),
         "mostlyproductgroupbookingsratio_Flag": flag((ratio > 0.5) & (ratio < 1)),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.keys import LINE, LINE_BY_NUMBER, RECEIPT, RECEIPT_BY_NUMBER
 from tillsight.functions.rules import Rule, first_match
-from tillsight.functions.scalars import business_day, minutes_between, slip_id
+from tillsight.functions.scalars import business_day, minutes_between, money, slip_id
 from tillsight.operators.joins import pivot_values
 from tillsight.plans.classify import EMPTIES_TYPES, SLIP_ADDONS
 
@@ -110,10 +110,10 @@ def slip_totals(redeemed: DataFrame, lineitemderived: DataFrame) -> DataFrame:
     plain, void = F.col("FLAG") == "PF", F.col("VoidFlagDerived")
 
     def total(kept):
-        return F.sum(F.when(kept & plain, F.col("EmptiesTotal")).otherwise(0.0))
+        return F.sum(money(F.when(kept & plain, F.col("EmptiesTotal")).otherwise(0.0)))
 
     per_slip = lines.groupBy(*RECEIPT_BY_NUMBER, *SLIP).agg(
-        F.round(F.when(F.count_if(~void) > 0, total(~void)).otherwise(total(void)), 2).alias("_total")
+        F.when(F.count_if(~void) > 0, total(~void)).otherwise(total(void)).cast("double").alias("_total")
     )
     return (
         lines.drop("EmptiesTotal", "Concatenated_Empties_ID")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.keys import LINE, LINE_BY_NUMBER, LINE_NUMBER, RECEIPT, RECEIPT_BY_NUMBER
-from tillsight.functions.scalars import is_true
+from tillsight.functions.scalars import is_true, money
 from tillsight.operators.joins import linked_lines
 
 
@@ -54,7 +54,9 @@ def void_counters(lineitemderived: DataFrame, sale: DataFrame, returns: DataFram
     return lines.groupBy(*RECEIPT_BY_NUMBER).agg(
         F.count_if(~F.col("VoidFlagDerived")).alias("NonVoidedItemCount"),
         F.count_if(F.col("VoidFlag")).alias("VoidedItemCount"),
-        F.sum(F.when(void, F.col("ExtendedAmount")).otherwise(0.0)).alias("VoidedItemTotal"),
+        F.sum(money(F.when(void, F.col("ExtendedAmount")).otherwise(0.0)))
+        .cast("double")
+        .alias("VoidedItemTotal"),
         F.count_if(F.col("DirectVoidFlag")).alias("DirectVoidedItemCount"),
         F.count_if(~F.col("DirectVoidFlag")).alias("LineVoidedItemCount"),
     )

@@ -134,7 +134,7 @@ MODELS: dict[str, Model] = {
                 "MerchandiseHierarchyLevel": "case when sk % 10 = 3 then 83 else pk % 20 end",
                 "ItemID": "100000 + pk % 20",
                 "UnitOfMeasureCode": "case when sk % 2 = 0 then 'ST' else 'KG' end",
-                "RegularSalesUnitPrice": "1e0 + (pk % 20) * 5e-1",
+                "RegularSalesUnitPrice": "119e-2 + (pk % 20) * 37e-2",
                 "modified": "l_tax >= 0.075",
                 "LineItemBeginDateTime": ts_of("k").replace(
                     ") % 14400)", ") % 14400 + 5 * cast(l_linenumber as bigint))"
@@ -156,7 +156,7 @@ MODELS: dict[str, Model] = {
             },
             {
                 "POSItemID": "case when pk % 200 = 1 and sk % 2 = 0 "
-                "then 2000000000000 + cast(ExtendedAmount * 100 as bigint) * 10 + 7 else pk % 20 end",
+                "then 2000000000000 + cast(round(ExtendedAmount * 100) as bigint) * 10 + 7 else pk % 20 end",
                 "Units": "case when pk % 3 = 0 then cast(null as double) else 1e0 end",
             },
         ),
@@ -434,7 +434,7 @@ DERIVED = {
     "case when emp_only or k % 3 = 0 then 0e0 else 1e0 end as TransactionTaxAmount, "
     "case when not emp_only and k % 5 = 0 then -1e0 end as NegativeTransactionTaxAmount, "
     "coalesce(net, 0e0) < 0 as NegativeTotalFlag "
-    "from {receipt} r left join (select k as lk, sum(case when IsReturn then -ExtendedAmount else ExtendedAmount end) as net "
+    "from {receipt} r left join (select k as lk, cast(sum(cast(round(case when IsReturn then -ExtendedAmount else ExtendedAmount end, 2) as decimal(20,2))) as double) as net "
     "from {position} where not VoidFlag group by k) t on r.k = t.lk where r.TransactionType = 'RetailTransaction'",
     "hierarchy": "select distinct cast(p_size % 20 as int) as MerchandiseHierarchyLevel, "
     "concat('group ', cast(p_size % 20 as string)) as DescriptionDE, 0 as IsEBUS from {b_part} "
