@@ -61,3 +61,17 @@ def test_no_python_in_any_rule_plan(spark, sf_dir):
     for name in ("classify_all", "price_check", "pricelookup_attach", "empties_totals"):
         text = plan(all_queries()[name](spark, sf_dir))
         assert "Python" not in text and "CartesianProduct" not in text
+
+
+def test_builder_rules_are_those_of_the_checking_sql():
+    """The rules stated in the checking SQL and those of the builders cannot drift apart."""
+    from oracle.ingest import ALL, RULES
+    from tillsight.plans.ingest import BUILDERS, WHOLE_ROW
+    from tillsight.sources.widedata import parts
+
+    assert set(RULES) == set(BUILDERS)
+    for name, rules in RULES.items():
+        one = (WHOLE_ROW if rules.one == ALL else tuple(rules.one)) if rules.one else None
+        for spec, _ in parts(name):
+            got = (spec.marker, spec.required, spec.dedup, spec.dedup_first, spec.keep_empty, spec.keep_empty_nested)
+            assert got == (rules.marker, rules.required, one, rules.late, rules.keep, rules.keep_nested), name
