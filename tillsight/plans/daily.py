@@ -1,4 +1,5 @@
-"""The daily rule run: every audit in order, each result written before the next reads it.
+"""The daily run: every audit and published table in order, each result written before the next
+reads it, for one batch of stores after the other; then load log, load status and report.
 
 Steps have the shape ``run_batch`` takes. A step sees the typed tables and the results of
 the steps before it under their names.
@@ -6,9 +7,14 @@ the steps before it under their names.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tillsight.plans import classify, empties, pricelookup, receiptvoid, suspended, void
+from tillsight.plans import classify, control, empties, pricelookup, publish, receiptvoid, reports, suspended, void
 
 Tables = dict[str, DataFrame]
 
@@ -63,3 +69,79 @@ RULE_STEPS = [
 
 #: partition column of tables that do not carry the plain store column
 PARTITION_COLUMNS = {"receiptvoiding": "RetailStoreID_1", "suspendedfraud": "RetailStoreID_suspended"}
+
+
+#: published tables that need no dictionary, in order; they read the rule results before them
+PUBLISH_STEPS = [
+    ("published_header", lambda t: publish.publish_header(t["header"], t["classification"], t["retailheader"])),
+    ("published_loyalty", lambda t: publish.publish_loyalty(t["loyalty"])),
+    ("published_modifiers", lambda t: publish.publish_modifiers(t["modifier"])),
+    ("published_empties", lambda t: publish.publish_empties(t["empties"])),
+    ("published_pricelookup", lambda t: publish.publish_pricelookup(t["pricelookup"])),
+    ("published_receiptvoid", lambda t: publish.publish_receiptvoid(t["receiptvoiding"])),
+    ("published_suspended", lambda t: publish.publish_suspended(t["suspendedfraud"])),
+]
+PUBLISH_PARTITIONS = {"published_receiptvoid": "RetailStoreID_1", "published_suspended": "RetailStoreID_suspended"}
+
+
+class DailyRun(NamedTuple):
+    """Outcome of a run: ids of the batches that finished, the log of store days, the load
+    status of every store, and the daily report over the stores that finished."""
+
+    finished: list[int]
+    store_log: DataFrame
+    load_status: DataFrame
+    report: DataFrame
+
+
+def published(root: str, table: str, run: DailyRun) -> DataFrame:
+    """A table as this run has published it: the rows of its finished batches."""
+    spark = run.load_status.sparkSession
+    parts = [spark.read.parquet(f"{root}/{table}/{b}") for b in run.finished]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def daily_run(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    run_date: str,
+    started: str,
+    ended: str,
+    history: DataFrame,
+    files: DataFrame,
+    stores_per_batch: int,
+    steps: Sequence = (*RULE_STEPS, *PUBLISH_STEPS),
+) -> DailyRun:
+    """Audit and publish the typed tables in batches of stores.
+
+    Tables with a store column are cut to the batch, the others are lookups. A batch that
+    fails publishes nothing; its store days are logged with status E, those of the others
+    with L, and both override the status expected from the list of stores.
+    """
+    from tillsight.streaming.batches import batch_by_store, run_batch
+
+    stores = tables["header"].select("RetailStoreID").distinct()
+    batched = batch_by_store(stores, stores_per_batch)
+    ids = sorted(r["batch"] for r in batched.select("batch").distinct().collect())
+    finished, log = [], None
+    for batch in ids:
+        own = batched.where(F.col("batch") == batch).select("RetailStoreID")
+        cut = {
+            name: df.join(own, "RetailStoreID", "left_semi") if "RetailStoreID" in df.columns else df
+            for name, df in tables.items()
+        }
+        status = run_batch(cut, batch, root, steps, PARTITION_COLUMNS | PUBLISH_PARTITIONS)
+        if status.ok:
+            finished.append(batch)
+        days = control.store_days(cut["header"])
+        mark = ("L", 0) if status.ok else ("E", 1)
+        part = control.store_load_log(days, mark[0], started, ended, 0, mark[1], history)
+        log = part if log is None else log.unionByName(part)
+    done = batched.where(F.col("batch").isin(finished)).select("RetailStoreID")
+    expected = control.store_status(tables["stores"], run_date)
+    return DailyRun(
+        finished,
+        log,
+        control.merge_load_status(expected, log, history),
+        reports.daily_report(tables["header"].join(done, "RetailStoreID", "left_semi"), files),
+    )

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillsight.plans import control, reports
+from tillsight.plans import control, daily, reports
+from tillsight.sources.session import scratch_path
 from workload.registry import query
+from workload.rules import class_texts
 from workload.stages import stage
 
 RUN_DATE, STARTED, ENDED = "2024-01-16", "2024-01-16 04:00:00", "2024-01-16 05:00:00"
 LOAD_DAY = "2024-01-15"
+#: typed tables of a run
+TYPED = (
+    "header retailheader lineitem sale return tender loyalty addon modifier stores control functionlog "
+    "pickup deposit loan tillsettle safesettle articles hierarchy headeraddon"
+).split()
 
 
 def received(t):
@@ -163,3 +170,40 @@ def _(t):
 )
 def _(t):
     return reports.incorrect_receipts(stage(t, "classification"))
+
+
+_DONE = "(select RetailStoreID, ceil(row_number() over (order by RetailStoreID) / 5.0) as batch from (select distinct RetailStoreID from {header}) q)"
+
+
+@query(
+    "daily_run",
+    f"select s.StoreID as RetailStoreID, case when d.x is not null then {_HISTORY} end as LoadID, "
+    f"case when d.x is null then {_STATUS} when d.batch = 2 then 'E' else 'L' end as Status, cast('{LOAD_DAY}' as date) as Date, Reason, "
+    "coalesce(c.n, 0) as transactions, coalesce(p.n, 0) as points, coalesce(v.n, 0) as report_days from {stores} s "
+    f"left join (select distinct h.RetailStoreID, batch, 1 as x from {{header}} h join {_DONE} b using (RetailStoreID) where cast(ReceiptDateTime as date) = date '{LOAD_DAY}') d on d.RetailStoreID = s.StoreID "
+    f"left join (select RetailStoreID, count(*) as n from {{employee}} join {_DONE} b using (RetailStoreID) where batch <> 2 group by 1) c on c.RetailStoreID = s.StoreID "
+    "left join (select RetailStoreID, count(*) as n from (select distinct RetailStoreID, WorkstationID, ReceiptDateTime, ReceiptNumber, coalesce(ReferenceID, 0) as a, coalesce(RuleDescription, '0') as b "
+    f"from {{loyalty}}) y join {_DONE} b using (RetailStoreID) where batch <> 2 group by 1) p on p.RetailStoreID = s.StoreID "
+    f"left join (select RetailStoreID, count(distinct cast(ReceiptDateTime as date)) as n from {{header}} join {_DONE} b using (RetailStoreID) where batch <> 2 group by 1) v on v.RetailStoreID = s.StoreID",
+)
+def _(t):
+    """Whole run over all stores, five a batch. The second batch fails while it publishes."""
+    root = scratch_path(t.spark, "daily")
+
+    def check(known):
+        return known["header"].select("RetailStoreID").distinct().withColumn(
+            "checked", F.when(F.col("RetailStoreID") == 7, F.raise_error(F.lit("store 7 is broken")).cast("int")).otherwise(1)
+        )
+
+    tables = {n: t[n] for n in TYPED} | {"class_texts": class_texts(t)}
+    steps = [*daily.RULE_STEPS, *daily.PUBLISH_STEPS, ("published_check", check)]
+    run = daily.daily_run(tables, root, RUN_DATE, STARTED, ENDED, history(t), files(t), 5, steps)
+    out = run.load_status
+    counted = {
+        "transactions": daily.published(root, "published_header", run),
+        "points": daily.published(root, "published_loyalty", run),
+        "report_days": run.report,
+    }
+    for name, df in counted.items():
+        out = out.join(df.groupBy("RetailStoreID").agg(F.count(F.lit(1)).alias(name)), "RetailStoreID", "left").fillna(0, [name])
+    return out
