@@ -75,3 +75,10 @@ def test_builder_rules_are_those_of_the_checking_sql():
         for spec, _ in parts(name):
             got = (spec.marker, spec.required, spec.dedup, spec.dedup_first, spec.keep_empty, spec.keep_empty_nested)
             assert got == (rules.marker, rules.required, one, rules.late, rules.keep, rules.keep_nested), name
+
+
+def test_receipt_void_matching_is_one_pass(spark, sf_dir, no_broadcast):
+    from workload.all import all_queries
+
+    text = plan(all_queries()["void_followup_match"](spark, sf_dir))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 20, text

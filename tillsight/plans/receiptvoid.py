@@ -9,7 +9,7 @@ from tillsight.functions.keys import LINE, RECEIPT
 from tillsight.functions.scalars import business_day
 from tillsight.operators.dedup import first_per_key
 from tillsight.operators.joins import present
-from tillsight.operators.ordered import as_of, running_position, time_bucket
+from tillsight.sources.session import scratch_path
 
 LANE_DAY = ["RetailStoreID", "WorkstationID", "ReceiptDate"]
 
@@ -79,44 +79,59 @@ def _baskets(lines: DataFrame) -> DataFrame:
     )
 
 
-def _items(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(*RECEIPT, "item_key", "price_key").agg(F.count(F.lit(1)).alias("c"))
+def item_counts(lines: DataFrame) -> DataFrame:
+    """Number of positions of each item and price in every voided or normal receipt. Written
+    to the scratch folder: it is read from both sides of the match, and far smaller than the
+    lines."""
+    counts = (
+        lines.where("void_class_flag in ('0', '1')")
+        .groupBy(*RECEIPT, "ReceiptDate", "TransactionGrandAmount", "void_class_flag", "item_key", "price_key")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    path = scratch_path(lines.sparkSession, "item_counts")
+    counts.write.parquet(path)
+    return lines.sparkSession.read.schema(counts.schema).parquet(path)
 
 
-def follow_up_candidates(lines: DataFrame) -> DataFrame:
+def follow_up_candidates(counts: DataFrame) -> DataFrame:
     """For every voided receipt the next later normal receipts of its lane and day.
 
-    The order is by time; receipts of one time count as one follow-up. Times are
-    numbered per lane and day, a voided receipt looks up its place among them and joins
-    the few numbers that follow, so a lane with many receipts is never joined to itself.
-    One number more than needed is fetched because the time of the voided receipt itself
-    may or may not hold a later receipt.
+    The order is by time; receipts of one time count as one follow-up. One running count of
+    the times with a normal receipt places normal and voided receipts alike. It runs over one
+    row per time, of which a lane has no more than a day has seconds, so no key is hot. A
+    voided receipt then joins the few numbers that follow, so a lane with many receipts is
+    never joined to itself. One number more than needed is fetched because the time of the
+    voided receipt itself may or may not hold a later receipt.
     """
-    voided = _baskets(lines.where("void_class_flag = '1'"))
-    normal = _baskets(lines.where("void_class_flag = '0'"))
-    times = running_position(
-        normal.select(*LANE_DAY, F.col("ReceiptDateTime").alias("FollowTime")).distinct(),
-        LANE_DAY, ["FollowTime"], time_bucket("FollowTime"), "pos",
-    )
-    placed = as_of(voided, times, LANE_DAY, "ReceiptDateTime", "FollowTime", ["pos"], "prev")
-    base = F.coalesce("pos", F.lit(0))
-    wanted = placed.drop("FollowTime").withColumn("base", base).withColumn(
-        "pos", F.explode(F.sequence(F.col("base") + 1, F.col("base") + FOLLOW_UPS + 1))
+    baskets = counts.groupBy(*RECEIPT, "ReceiptDate", "TransactionGrandAmount", "void_class_flag").agg(
+        F.sum("c").alias("n")
     )
-    followers = normal.select(
+    is_normal = (F.col("void_class_flag") == "0").cast("int")
+    times = baskets.groupBy(*LANE_DAY, "ReceiptDateTime").agg(F.max(is_normal).alias("normal"))
+    upto = F.sum("normal").over(Window.partitionBy(*LANE_DAY).orderBy("ReceiptDateTime"))
+    # a normal receipt has the number of its time; a voided one the number before its time
+    placed = baskets.join(times.withColumn("upto", upto), [*LANE_DAY, "ReceiptDateTime"])
+    normal = placed.where("void_class_flag = '0'").select(
         *LANE_DAY,
+        F.col("upto").alias("pos"),
         F.col("ReceiptDateTime").alias("FollowTime"),
         F.col("SequenceNumber").alias("FollowSequence"),
         F.col("TransactionGrandAmount").alias("FollowAmount"),
         F.col("n").alias("follow_n"),
     )
+    base = F.col("upto") - F.col("normal")
+    wanted = placed.where("void_class_flag = '1'").withColumn(
+        "pos", F.explode(F.sequence(base + 1, base + FOLLOW_UPS + 1))
+    )
     return (
-        wanted.join(times, [*LANE_DAY, "pos"])
-        .join(followers, [*LANE_DAY, "FollowTime"])
+        wanted.join(normal, [*LANE_DAY, "pos"])
         .where(
             (F.col("FollowTime") > F.col("ReceiptDateTime"))
             | (F.col("FollowSequence") > F.col("SequenceNumber"))
         )
+        .select(
+            *RECEIPT, "n", "TransactionGrandAmount", "FollowTime", "FollowSequence", "FollowAmount", "follow_n"
+        )
     )
 
 
@@ -126,32 +141,37 @@ def followup_matches(lines: DataFrame) -> DataFrame:
     Pairs of equal item and price are counted from item counts per receipt (count times
     count), not by joining line with line.
     """
-    pairs = follow_up_candidates(lines)
-    follow_key = ["RetailStoreID", "WorkstationID", "FollowSequence", "FollowTime"]
-    void_items = _items(lines.where("void_class_flag = '1'"))
-    follow_items = _items(lines.where("void_class_flag = '0'")).select(
-        F.col("RetailStoreID"), F.col("WorkstationID"),
+    counts = item_counts(lines)
+    void_items = counts.where("void_class_flag = '1'").select(*RECEIPT, "item_key", "price_key", "c")
+    follow_items = counts.where("void_class_flag = '0'").select(
+        "RetailStoreID", "WorkstationID",
         F.col("SequenceNumber").alias("FollowSequence"),
         F.col("ReceiptDateTime").alias("FollowTime"),
         "item_key", "price_key", F.col("c").alias("follow_c"),
     )
-    common = (
-        pairs.select(*RECEIPT, "FollowTime", "FollowSequence")
+    pair = [*RECEIPT, "n", "TransactionGrandAmount", "FollowTime", "FollowSequence", "FollowAmount", "follow_n"]
+    same_items = (
+        follow_up_candidates(counts)
         .join(void_items, RECEIPT)
-        .join(follow_items, [*follow_key, "item_key", "price_key"])
-        .groupBy(*RECEIPT, "FollowTime")
-        .agg(F.sum(F.col("c") * F.col("follow_c")).alias("matches"))
+        .join(
+            follow_items,
+            ["RetailStoreID", "WorkstationID", "FollowSequence", "FollowTime", "item_key", "price_key"],
+            "left",
+        )
+        .groupBy(*pair)
+        .agg(F.sum(F.coalesce(F.col("c") * F.col("follow_c"), F.lit(0))).alias("matches"))
     )
     same_total = F.when(
         F.col("TransactionGrandAmount") == F.col("FollowAmount"), F.col("n") * F.col("follow_n")
     ).otherwise(0)
-    by_time = pairs.groupBy(*RECEIPT, "FollowTime", "n").agg(F.sum(same_total).alias("TrnAmtMatch"))
+    by_time = same_items.groupBy(*RECEIPT, "FollowTime", "n").agg(
+        F.sum(same_total).alias("TrnAmtMatch"), F.sum("matches").alias("matches")
+    )
     rank = F.row_number().over(Window.partitionBy(*RECEIPT).orderBy("FollowTime"))
     return (
         by_time.withColumn("row_num", rank)
         .where(F.col("row_num") <= FOLLOW_UPS)
-        .join(common, [*RECEIPT, "FollowTime"], "left")
-        .withColumn("item_match", F.coalesce("matches", F.lit(0)) / F.col("n"))
+        .withColumn("item_match", F.col("matches") / F.col("n"))
         .select(*RECEIPT, "FollowTime", "row_num", "item_match", "TrnAmtMatch")
     )
 
