@@ -53,8 +53,9 @@ def quoted(name: str) -> Column:
 
 
 def number_of(df: DataFrame, key: Column, bound: int) -> DataFrame:
-    """At most ``bound`` rows of ``df``, chosen by a hash of ``key`` alone, so the choice is
-    the same in every run. The share is set from a count first; no task sorts its rows."""
+    """All rows of ``df`` if there are ``bound`` or fewer, else about ``bound`` of them, chosen by
+    a hash of ``key`` alone, so the choice is the same in every run. The share is set from a
+    count first; no task sorts its rows."""
     n = df.count()
     if n <= bound:
         return df

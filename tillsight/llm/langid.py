@@ -26,8 +26,9 @@ from tillsight.llm.common import quoted
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH, WIDTHS, FILTERS = 256, (2, 3, 4), 16
-#: texts of a language that are learned from, windows of each, and languages, at most
-SAMPLE, WINDOWS, LANGUAGES = 1000, 6, 256
+#: texts of a language that are learned from, texts of all languages together, windows of each
+#: text, and languages, at most (texts about, since a hash decides)
+SAMPLE, TEXTS, WINDOWS, LANGUAGES = 1000, 20_000, 6, 256
 EPOCHS, BATCH, RATE, SEED = 4, 64, 0.01, 7
 #: windows that are worked on at once
 BLOCK = 64
@@ -153,6 +154,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not sizes:
         return fit(np.zeros((0, LENGTH), np.uint8), np.zeros(0, int), [])
     languages = sorted(r["lang"] for r in sizes)
+    sample = min(sample, TEXTS // len(languages))
     shares = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1 << 31, int(sample / max(1, r["n"]) * (1 << 31))))])
     few = rows.where(F.pmod("key", F.lit(1 << 31)) < shares[F.col("lang")])
     few = few.select("lang", "key", _samples(F.col("text").cast("binary"), F.col("key")).alias("x")).dropDuplicates(["lang", "key"])

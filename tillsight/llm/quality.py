@@ -25,7 +25,7 @@ from tillsight.llm.common import number_of, quoted, whole_row
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: labelled rows that are learned from, at most
+#: labelled rows that are learned from, at most (about, since a hash decides)
 SAMPLE = 20_000
 TREES, DEPTH, CUTS, RATE = 24, 3, 24, 0.3
 PENALTY, ROUNDS = 5e-4, 400
@@ -203,7 +203,7 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> RuleEnsemble:
-    """Learn from at most ``sample`` labelled ids that are not held out, chosen by hash. Of
+    """Learn from about ``sample`` labelled ids that are not held out, or all, chosen by hash. Of
     repeated labels the majority counts; of repeated documents, one."""
     known = labels.where(quoted(id_col).isNotNull() & quoted(label_col).isNotNull() & ~held_out(quoted(id_col)))
     known = known.groupBy(quoted(id_col).alias("id")).agg((F.avg(quoted(label_col)) >= 0.5).cast("double").alias("y"))
