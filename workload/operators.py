@@ -305,11 +305,11 @@ def _(t):
 @query(
     "join_cross_summary",
     "select a.TransactionType, a.n, b.lines, b.amount from (select TransactionType, count(*) as n from {header} group by 1) a "
-    "cross join (select count(*) as lines, sum(Amount) as amount from {lineitem}) b",
+    "cross join (select count(*) as lines, cast(sum(cast(round(Amount, 2) as decimal(20,2))) as double) as amount from {lineitem}) b",
 )
 def _(t):
     kinds = t["header"].groupBy("TransactionType").agg(F.count(F.lit(1)).alias("n"))
-    totals = t["lineitem"].agg(F.count(F.lit(1)).alias("lines"), F.sum("Amount").alias("amount"))
+    totals = t["lineitem"].agg(F.count(F.lit(1)).alias("lines"), F.sum(scalars.money("Amount")).cast("double").alias("amount"))
     return kinds.crossJoin(totals)
 
 
@@ -340,13 +340,13 @@ def _(t):
 
 @query(
     "agg_conditional_sum",
-    "select $R4, sum(case when VoidFlag then 0 else Amount end) as live, sum(case when VoidFlag then Amount end) as void from {lineitem} group by $R4",
+    "select $R4, cast(sum(cast(round(case when VoidFlag then 0 else Amount end, 2) as decimal(20,2))) as double) as live, cast(sum(cast(round(case when VoidFlag then Amount end, 2) as decimal(20,2))) as double) as void from {lineitem} group by $R4",
 )
 def _(t):
     void = F.col("VoidFlag")
     return t["lineitem"].groupBy(*RECEIPT).agg(
-        F.sum(F.when(void, 0.0).otherwise(F.col("Amount"))).alias("live"),
-        F.sum(F.when(void, F.col("Amount"))).alias("void"),
+        F.sum(scalars.money(F.when(void, 0.0).otherwise(F.col("Amount")))).cast("double").alias("live"),
+        F.sum(scalars.money(F.when(void, F.col("Amount")))).cast("double").alias("void"),
     )
 
 
@@ -540,9 +540,10 @@ def _(t):
     return top_per_key(rows, ["RetailStoreID"], [F.desc("TransactionGrandAmount"), "SequenceNumber"], 10, "place")
 
 
-@query("limit_one", "select sum(ExtendedAmount) as amount, count(*) as n from {sale} limit 1")
+@query("limit_one", f"select {KEY}, TransactionGrandAmount from {{retailheader}} order by TransactionGrandAmount desc, {KEY} limit 1")
 def _(t):
-    return t["sale"].agg(F.sum("ExtendedAmount").alias("amount"), F.count(F.lit(1)).alias("n")).limit(1)
+    rows = t["retailheader"].select(*KEYS, "TransactionGrandAmount")
+    return rows.orderBy(F.desc("TransactionGrandAmount"), *KEYS).limit(1)
 
 
 @query("set_union_all", "select $L5, ExtendedAmount from {sale} union all select $L5, ExtendedAmount from {return}")
