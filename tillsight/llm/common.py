@@ -67,3 +67,9 @@ def whole_row(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct ``row``, so that helper columns beside it cannot
     clash with them; ``select("row.*")`` brings them back."""
     return F.struct(*[quoted(c) for c in df.columns]).alias("row")
+
+
+def spread(df: DataFrame, column: str) -> DataFrame:
+    """``df`` dealt by ``column`` to as many partitions as the session shuffles to, which
+    adaptive execution leaves as they are: for few rows that are about to become many."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), column)

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import lower_az, quoted, stored
+from tillsight.llm.common import lower_az, quoted, spread, stored
 
 ORDER = 3
 #: one URL in so many is kept from training and used to set the limit
@@ -139,7 +139,7 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rule
     rows = rows.withColumns({"rule": name, "action": action, "text": F.concat("host", "path")})
     texts = rows.groupBy("text", "action").agg(F.count("*").alias("n"))
     texts = texts.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0)
-    texts = stored(texts, "texts")
+    texts = stored(spread(texts, "text"), "texts")
     parts = texts.select("text", "action", "n", "held", F.explode(grams(F.col("text"), order)).alias("gram"))
     train = parts.where("action is not null and not held")
     counts = train.groupBy("gram").agg(*[F.sum(F.when(F.col("action") == c, F.col("n")).otherwise(0)).alias(c) for c in ("allow", "block")])
