@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from tillsight.llm.common import quoted, stored, whole_row
+from tillsight.llm.common import quoted, spread, stored, whole_row
 from tillsight.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -118,7 +118,8 @@ def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) among distinct fingerprints that differ in 3 bits or fewer, enough to
     connect whatever is connected. A key counts only if it has two fingerprints, and with a
     wild bit only if both values of the bit occur (else the plain key has the same pairs)."""
-    index = variants(fps)
+    # dealt by another hash than that of the aggregation before, which would be kept, a few rows a task
+    index = variants(spread(fps.withColumn("__deal", F.xxhash64("fp")), "__deal"))
     sizes = index.groupBy("key").agg(F.count("*").alias("n"), F.min("segment").alias("lo"), F.max("segment").alias("hi"))
     plain = (F.shiftrightunsigned("key", SEGMENT) % (SEGMENT + 1)) == 0
     shared = sizes.where((F.col("n") > 1) & (plain | (F.col("lo") != F.col("hi")))).select("key", "n")
