@@ -94,6 +94,45 @@ def test_secret_spans(spark):
         assert got[i]["spans"] == ",".join(f"{k}:{a}:{b}" for a, _, k, b in every)
 
 
+def test_secrets_joined_to_names(spark):
+    """Random values after NAME= and ?key=, and in tokens that mix the signs of both alphabets."""
+    import random
+
+    r = random.Random(11)
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    plain, other = ("".join(r.choice(b62) for _ in range(64)) for _ in range(2))
+    b64 = plain[:20] + "+" + plain[20:41] + "/" + plain[41:]
+    url = plain[:20] + "-" + plain[20:41] + "_" + plain[41:]
+    cases = [
+        ("x ", "key=", plain, " y"),
+        ("", "AWS_SECRET_ACCESS_KEY=", b64, "\n"),
+        ("http://a.org/p?", "sig=", plain, "&z=1"),
+        ("", "--my-flag=", url + "==", ""),
+        ("a_b=", "c-d==", b64 + "=", " ="),
+        ("see ", "my_flag-", b64, " there"),
+        ("see ", "x+y/", url + "==", "."),
+    ]
+    texts = ["".join(c) for c in cases] + [f"{plain}={other} {plain}", "short_name/of-a+thing only", "_+" * 30]
+    texts += [f"filler {'thisisquiteanordinarytoken' + 'e' * i}" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["random_spans"] for r in secretscan.secrets(docs).collect()}
+    for i, (before, name, value, _) in enumerate(cases):
+        at = len(before + name)
+        if name in ("my_flag-", "x+y/"):  # where no '=' ends the name, a part may reach into it
+            kind, start, end = got[i].split(":")
+            assert kind == "random" and len(before) <= int(start) <= at and int(end) == at + len(value), texts[i]
+        else:
+            assert got[i] == f"random:{at}:{at + len(value)}", texts[i]
+    assert got[len(cases)] == "random:0:64,random:65:129,random:130:194"
+    assert not any(got[i] for i in range(len(cases) + 1, len(texts)))
+
+
+def test_overlapping_parts_are_one_span(spark):
+    rows = [("a", 3, 0, 30), ("a", 3, 20, 50), ("a", 3, 25, 28), ("a", 3, 50, 70), ("b", 3, 40, 60)]
+    got = secretscan.joined(spark.createDataFrame(rows, "key string, kind int, start bigint, end bigint"))
+    assert sorted(map(tuple, got.collect())) == [("a", 3, 0, 50), ("a", 3, 50, 70), ("b", 3, 40, 60)]
+
+
 def test_battery_separates(spark):
     import random
 

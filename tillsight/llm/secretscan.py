@@ -1,7 +1,11 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests for all other tokens.
 
 Patterns give the base spans. The battery looks at every token of ``TOKEN`` characters, infers
-the narrowest encoding whose alphabet holds it, and tests on its symbols
+the narrowest encoding whose alphabet holds it, and tests on its symbols (below). A ``=`` belongs
+to a token only as padding at its end, so the value of ``NAME=value`` is a token of its own. A
+token that no alphabet holds, mixing ``+/`` with ``-_``, is tested in parts: its longest runs
+without the one pair and those without the other; random parts that overlap are one span. The
+tests are
 
 * uniformity over the alphabet (chi-squared),
 * runs below and above the middle of the alphabet (Wald-Wolfowitz),
@@ -34,7 +38,11 @@ KINDS = [
     ("hex", r"[0-9a-f]{16,}", 0, 16),  # the runs of [0-9a-f]+ that are long enough
 ]
 TOKEN = 20
-TOKENS = f"[A-Za-z0-9+/_=-]{{{TOKEN},}}"
+#: an equals sign with more of a token after it joins a name to its value
+TOKENS = f"[A-Za-z0-9+/_-]{{{TOKEN},}}(?:=+(?![A-Za-z0-9+/_=-]))?"
+#: parts of tokens that mix the signs of both base64 alphabets
+MIXED = "[+/].*[_-]|[_-].*[+/]"
+PARTS = [(f"[A-Za-z0-9{signs}]{{{TOKEN},}}=*", 0, TOKEN) for signs in ("+/", "_-")]
 #: encoding, alphabet in the order of its values, probability that two symbols of ordinary
 #: text written in it agree; a token has the first that holds all its characters
 ENCODINGS = [
@@ -78,13 +86,35 @@ def places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     the tokens. The key is that of id and text, so repeated rows share their places."""
     text = F.coalesce(quoted(text_col), F.lit(""))
     rows = docs.select(row_key(quoted(id_col), quoted(text_col)).alias("key"), text.alias("text"))
-    plan = [(p, g, n) for _, p, g, n in KINDS] + [(TOKENS, 0, TOKEN)]
+    return _located(rows, [(p, g, n) for _, p, g, n in KINDS] + [(TOKENS, 0, TOKEN)])
+
+
+def _located(rows: DataFrame, plan: list[tuple[str, int, int]]) -> DataFrame:
+    """``places`` of (key, text) for the patterns of ``plan``."""
     found = F.concat(*[_matches(F.col("text"), k, *x) for k, x in enumerate(plan)])
     found = rows.select("key", F.explode(found).alias("m")).select("key", "m.*").dropDuplicates(["key", "kind", "pos"])
     upto = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("key", "kind").orderBy("pos"))
     return found.select("key", "kind", (upto - F.col("size")).alias("start"), upto.alias("end"), "good", "token")
 
 
+def parted(tokens: DataFrame) -> DataFrame:
+    """``tokens`` (of ``places``), those that mix ``+/`` with ``-_`` replaced by their parts."""
+    mixed = F.col("token").rlike(MIXED)
+    rows = tokens.where(mixed).select(F.struct("key", "kind", "start").alias("key"), F.col("token").alias("text"))
+    at = F.col("key.start")
+    parts = _located(rows, PARTS).select("key.key", "key.kind", (at + F.col("start")).alias("start"), (at + F.col("end")).alias("end"), "good", "token")
+    return tokens.where(~mixed).unionByName(parts)
+
+
+def joined(tokens: DataFrame) -> DataFrame:
+    """(key, kind, start, end) of ``tokens`` of one kind, those that overlap as one."""
+    order = Window.partitionBy("key").orderBy("start", "end")
+    upto = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = tokens.withColumn("apart", F.when(upto > F.col("start"), 0).otherwise(1))
+    rows = rows.withColumn("group", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy("key", "kind", "group").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("group")
+
+
 def tail(z: Column) -> Column:
     """Probability that a standard normal number exceeds z (rational Chebyshev fit of the
     complementary error function, relative error below 2e-7)."""
@@ -101,7 +131,7 @@ def tail(z: Column) -> Column:
 
 def battery(tokens: DataFrame) -> DataFrame:
     """Adds encoding, n (symbols), p_uniform, p_runs, p_serial, p_random and p_text to rows
-    with ``token``; tokens without an encoding or of digits alone go."""
+    with ``token``; tokens without an encoding (``parted`` leaves none) or of digits alone go."""
     body = F.regexp_replace("token", "=+$", "")
     name, alphabet, agree, half = (F.lit(None) for _ in range(4))
     for label, letters, rate in reversed(ENCODINGS):
@@ -167,8 +197,8 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
     """
     names = [name for name, *_ in KINDS] + ["random"]
     found = stored(places(docs, id_col, text_col), "places")
-    base = found.where((F.col("kind") < len(KINDS)) & F.col("good")).drop("good")
-    extra = random_tokens(found.where(F.col("kind") == len(KINDS)).drop("good"), rate)
+    base = found.where((F.col("kind") < len(KINDS)) & F.col("good")).select("key", "kind", "start", "end")
+    extra = joined(random_tokens(parted(found.where(F.col("kind") == len(KINDS))).drop("good"), rate))
     rows = base.unionByName(extra).withColumn("base", F.col("kind") < len(KINDS))
     order = Window.partitionBy("key").orderBy("start", "kind")
     earlier = F.max(F.when(F.col("base"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
