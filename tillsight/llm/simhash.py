@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from tillsight.llm.common import quoted, spread, stored, whole_row
+from tillsight.llm.common import quoted, row_key, spread, stored, whole_row
 from tillsight.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -134,6 +134,14 @@ def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     return groups.select(F.explode(_forests("members")).alias("e")).select("e.a", "e.b").distinct()
 
 
+def _rooted(prints: DataFrame, best: Column, block: int) -> DataFrame:
+    """(fp, root, best) of each fingerprint of ``prints``: the least fingerprint of its component,
+    and ``best`` of its rows."""
+    fps = prints.groupBy("fp").agg(best.alias("best"))
+    roots = components(links(fps.select("fp"), block)).select(F.col("node").alias("fp"), "root")
+    return stored(fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "best"), "roots")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: (``id_col``, fp, fingerprint, component_id).
 
@@ -143,26 +151,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row each. An empty table gives an empty result; further columns are left out.
     """
     prints = stored(docs.select(quoted(id_col).alias("id"), simhash(quoted(text_col)).alias("fp")), "fingerprints")
-    fps = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(links(fps.select("fp"), block)).select(F.col("node").alias("fp"), "root")
-    rooted = stored(fps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = _rooted(prints, F.min("id"), block)
+    least = rooted.groupBy("root").agg(F.min("best").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that stay: of each component the one with the smallest id, all columns.
-    Rows without an id stay only where nothing in their component has one, one a fingerprint;
-    of rows that repeat the smallest id, one stays."""
-    found = near_duplicates(docs, id_col, text_col)
-    stay = found.where(quoted(id_col).eqNullSafe(F.col("component_id"))).select(quoted(id_col).alias("id"), "fp")
-    text = quoted(text_col)
-    rows = docs.select(whole_row(docs), quoted(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"))
-    first = F.row_number()
-    named = rows.join(stay.where("id is not null").select("id").distinct(), "id", "left_semi")
-    named = named.select("row", first.over(Window.partitionBy("id").orderBy("key")).alias("n"))
-    nameless = docs.where(quoted(id_col).isNull()).select(whole_row(docs), simhash(text).alias("fp"))
-    nameless = nameless.join(stay.where("id is null").select("fp").distinct(), "fp", "left_semi")
-    nameless = nameless.select("row", first.over(Window.partitionBy("fp").orderBy("row")).alias("n"))
-    return named.unionByName(nameless).where("n = 1").select("row.*")
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """Rows of ``docs`` that stay: one of each component, all columns. It is the row with the
+    smallest id, rows without an id last; of texts that share that id the one with the smallest
+    fingerprint. Components stay apart even where their rows share an id; of rows that repeat
+    id and text, one stays."""
+    key = row_key(quoted(id_col), quoted(text_col))
+    prints = docs.select(quoted(id_col).alias("id"), key.alias("key"), simhash(quoted(text_col)).alias("fp"))
+    best = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    rooted = _rooted(stored(prints, "fingerprints"), F.min(best), block)
+    best = F.struct("best.none", "best.id", "fp", "best.key")
+    stay = rooted.groupBy("root").agg(F.min(best).alias("best")).select("best.key")
+    rows = docs.select(whole_row(docs), key.alias("key")).join(stay, "key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("key").orderBy("row"))
+    return rows.withColumn("n", first).where("n = 1").select("row.*")
