@@ -113,6 +113,25 @@ def test_model_tells_apart(spark):
     assert right >= 38
 
 
+def test_model_reads_the_whole_url(spark):
+    """Unlabelled URLs that differ only after '?' or '#', or have no scheme, are told apart."""
+    rows = [(i, f"http://n{i}.org/p?topic=story{i}", None) for i in range(60)] + [(100 + i, f"http://n{i}.com/de/p?topic=casino{i}", None) for i in range(60)]
+    ends = ["?topic=story", "?topic=casino", "#topic=story", "#topic=casino"]
+    rows += [(300 + i, "http://a.net/p" + x, None) for i, x in enumerate(ends)] + [(310 + i, "p" + x, None) for i, x in enumerate(ends)]
+    got = {r["page_id"]: r for r in urlfilter.judged(pages(spark, rows)).where("page_id >= 300").collect()}
+    for i in got:
+        assert got[i]["rule"] is None and got[i]["verdict"] == ("block" if i % 2 else "allow"), rows[i - 180]
+    assert {(got[i]["host"], got[i]["path"]) for i in range(300, 304)} == {("a.net", "/p")}
+    assert {(got[i]["host"], got[i]["path"]) for i in range(310, 314)} == {("", "")}
+
+
+def test_text_of(spark):
+    urls = [(u,) for u in [*URLS, "HTTP://A.NET/Q?B=C#D", "NoScheme", "x://É.Org?A"]]
+    for url, text in spark.createDataFrame(urls, "url string").select("url", urlfilter.text_of(F.col("url"))).collect():
+        front = url[: url.index("://") + 3 + len(brute.split_url(url)[0])] if url and "://" in url else ""
+        assert text == brute.lower_az(front) + (url or "")[len(front) :]
+
+
 @pytest.mark.parametrize("kind", ["edge", "table", "empty"])
 def test_archive(spark, sf_dir, tmp_path, kind):
     df = spark.read.parquet(f"{sf_dir}/pages.parquet") if kind == "table" else pages(spark, [] if kind == "empty" else None)

@@ -1,6 +1,7 @@
 """URL filter: rules by host and path, and for all other URLs a character language-model ratio.
 
-URLs that a rule allows or blocks are the labelled texts. Two smoothed variable-order Markov
+Rules see host and path, the models the whole URL, query and fragment too. URLs that a rule
+allows or blocks are the labelled texts. Two smoothed variable-order Markov
 models of characters (Witten-Bell: each order is mixed with the next shorter one by how many
 different characters were seen after the context; an unseen context falls back entirely) are
 trained on them by counting n-grams. A URL's score is the difference of its log-likelihoods
@@ -61,6 +62,14 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def text_of(url: Column) -> Column:
+    """The whole URL as the models read it: the part up to the end of the host with A-Z in lower
+    case, the rest as it is. Null is empty."""
+    url = F.coalesce(url, F.lit(""))
+    front = F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*", 0)
+    return F.concat(lower_az(front), F.substring(url, F.length(front) + 1, F.length(url)))
+
+
 def rule_of(host: Column, path: Column, rules: list[Rule] = RULES) -> tuple[Column, Column]:
     """(name, action) of the longest rule that fits, null if none does. Of rules that are
     equally long the one that comes first by name counts."""
@@ -128,15 +137,15 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rule
     """One row per row of ``pages``: (``id_col``, host, path, rule, verdict, score).
 
     A URL that is null or has no ``://`` has an empty host and path and no rule. Where no rule
-    fits, the verdict is that of the language models on host and path, and ``score`` their
-    length-normalised difference, else null. Without labelled URLs of both kinds nothing can be
+    fits, the verdict is that of the language models on the whole URL (null: empty), and
+    ``score`` their length-normalised difference, else null. Without labelled URLs of both kinds nothing can be
     compared: the missing model knows no character, and the limit is 0. Equal URLs are judged
     alike. An empty table gives an empty result; further columns are left out.
     """
     url = quoted(url_col)
-    rows = pages.select(quoted(id_col).alias(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = pages.select(quoted(id_col).alias(id_col), host_of(url).alias("host"), path_of(url).alias("path"), text_of(url).alias("text"))
     name, action = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": name, "action": action, "text": F.concat("host", "path")})
+    rows = rows.withColumns({"rule": name, "action": action})
     texts = rows.groupBy("text", "action").agg(F.count("*").alias("n"))
     texts = texts.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0)
     texts = stored(spread(texts, "text"), "texts")
