@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import decontaminate, exactdedup, langid, mixing, quality, secretscan, simhash, tokencount, urlfilter, warc
+from tillsight.llm import conversation, decontaminate, exactdedup, langid, mixing, quality, secretscan, simhash, tokencount, urlfilter, warc
 from tillsight.llm.common import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,11 +62,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(docs, langid.train(docs))
 
 
+def op11_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.repaired_after_damage(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_secrets, op3_decontaminate, op4_token_counts, op5_exact_dedup,
-        op6_mixture, op7_url_filter, op8_quality, op9_warc, op10_language,
+        op6_mixture, op7_url_filter, op8_quality, op9_warc, op10_language, op11_conversation,
     )
 }
 
