@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import conversation, decontaminate, exactdedup, langid, mixing, quality, secretscan, simhash, tokencount, urlfilter, warc
+from tillsight.llm import conversation, decontaminate, divergence, exactdedup, langid, mixing, quality, secretscan, simhash, tokencount, urlfilter, warc
 from tillsight.llm.common import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,11 +66,16 @@ def op11_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.repaired_after_damage(_table(spark, sf_dir, "conversations"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_secrets, op3_decontaminate, op4_token_counts, op5_exact_dedup,
         op6_mixture, op7_url_filter, op8_quality, op9_warc, op10_language, op11_conversation,
+        op12_divergence,
     )
 }
 
@@ -79,6 +84,7 @@ WORDS = f"list_filter(regexp_split_to_array({LOWER_AZ}, '[\\x00-\\x2F\\x3A-\\x60
 SIZE = "len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))"
 LETTERS = "length(regexp_replace(coalesce(text, ''), '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+', '', 'g'))"
 SHOWN = "length(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g'))"
+TERMS = f"list_filter(regexp_split_to_array({LOWER_AZ}, '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
 SQL: dict[str, str] = {
     "op3_decontaminate": f"""
         with d as (select doc_id, {WORDS} as w from documents),
@@ -123,4 +129,25 @@ SQL: dict[str, str] = {
         select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
                case when again then 'revisit' else 'response' end as record_type,
                case when again then first_id end as refers_to from t""",
+    "op12_divergence": f"""
+        with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, {TERMS} as w, row_number() over () as r from documents),
+        c as (select lang, source, term, count(*) as n, count(distinct r) as docs
+              from (select lang, source, r, unnest(w) as term from d) x group by all),
+        k as (select lang, term, sum(n) as lang_n from c group by all having sum(docs) >= 3),
+        v as (select lang, count(*) as terms, sum(lang_n) as lang_total from k group by all),
+        g as (select distinct lang, source from d),
+        m as (select lang, source, sum(n) as total from c semi join k using (lang, term) group by all),
+        e as (select g.*, coalesce(total, 0)::hugeint as total, terms::hugeint as terms, lang_total::hugeint as lang_total
+              from g left join m using (lang, source) left join v using (lang)),
+        s as (select e.lang, e.source, k.term, coalesce(n, 0) as n, 1 + 1000000000::hugeint * (coalesce(n, 0) + 1) // (total + terms) as p,
+              1 + 1000000000::hugeint * (lang_n + 1) // (lang_total + terms) as q
+              from e join k using (lang) left join c using (lang, source, term)),
+        f as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+              from s a join s b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+        o as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+              from g a join g b on a.lang = b.lang and a.source <> b.source
+              left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+              union all select lang, source, 'term', term, cast((p - q) * (p - q) // q as bigint) from s where n > 0 and p > q),
+        r as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank from o)
+        select * from r where part = 'pair' or rank <= 200""",
 }
