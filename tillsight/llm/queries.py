@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import conversation, decontaminate, divergence, exactdedup, langid, mixing, quality, secretscan, simhash, tokencount, urlfilter, warc
+from tillsight.llm import conversation, decontaminate, divergence, exactdedup, langid, mixing, packing, quality, secretscan, simhash, tokencount, urlfilter, warc
 from tillsight.llm.common import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,12 +70,16 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_secrets, op3_decontaminate, op4_token_counts, op5_exact_dedup,
         op6_mixture, op7_url_filter, op8_quality, op9_warc, op10_language, op11_conversation,
-        op12_divergence,
+        op12_divergence, op13_packing,
     )
 }
 
