@@ -129,3 +129,13 @@ def test_long_text_uses_all_windows(spark):
     mixed = some["en"][:60000] + " " + (some["de"] * 9)[:600000]
     df = spark.createDataFrame([(1, mixed)], "doc_id bigint, text string")
     assert langid.identified(df, net).first()["lang_pred"] == "de"
+
+
+def test_every_language_is_learned(spark):
+    """More languages than a small sample has room for: none is left out."""
+    rows = [(i * 300 + n, f"{chr(0x4E00 + n)}{chr(0x5000 + n)} " * 40, f"l{n:03}", "s", 0) for n in range(300) for i in range(5)]
+    docs = edge.frame(spark, rows)
+    net = langid.train(docs)
+    assert net.languages == [f"l{n:03}" for n in range(300)]
+    seen = {r["lang_pred"] for r in langid.identified(docs, net).select("lang_pred").collect()}
+    assert len(seen) > 256

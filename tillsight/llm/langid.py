@@ -26,9 +26,9 @@ from tillsight.llm.common import quoted
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH, WIDTHS, FILTERS = 256, (2, 3, 4), 16
-#: texts of a language that are learned from, texts of all languages together, windows of each
-#: text, and languages, at most (texts about, since a hash decides)
-SAMPLE, TEXTS, WINDOWS, LANGUAGES = 1000, 20_000, 6, 256
+#: texts of a language that are learned from, texts of all languages together, and windows of
+#: each text, at most (texts about, since a hash decides), and texts of a language in any case
+SAMPLE, TEXTS, WINDOWS, LEAST = 1000, 20_000, 6, 8
 EPOCHS, BATCH, RATE, SEED = 4, 64, 0.01, 7
 #: windows that are worked on at once
 BLOCK = 64
@@ -145,16 +145,17 @@ def _samples(texts: pd.Series, keys: pd.Series) -> pd.Series:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Network:
     """Learn from about ``sample`` texts of each language, or all if there are fewer, chosen by
-    a hash of id and text, among rows with text and language that are not held out. Windows
-    are cut out where the text lies; the driver gets those alone."""
+    a hash of id and text, among rows with text and language that are not held out. Every
+    language is learned; where there are many, each has fewer texts, but ``LEAST`` at least.
+    Windows are cut out where the text lies; the driver gets those alone."""
     rows = docs.where(quoted(lang_col).isNotNull() & (F.length(quoted(text_col)) > 0) & ~held_out(quoted(id_col)))
     rows = rows.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).alias("text"), F.xxhash64(quoted(id_col), quoted(text_col)).alias("key"))
     # repeated rows hash alike, so keys are counted, not rows
-    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()
     if not sizes:
         return fit(np.zeros((0, LENGTH), np.uint8), np.zeros(0, int), [])
     languages = sorted(r["lang"] for r in sizes)
-    sample = min(sample, TEXTS // len(languages))
+    sample = min(sample, max(LEAST, TEXTS // len(languages)))
     shares = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1 << 31, int(sample / max(1, r["n"]) * (1 << 31))))])
     few = rows.where(F.pmod("key", F.lit(1 << 31)) < shares[F.col("lang")])
     few = few.select("lang", "key", _samples(F.col("text").cast("binary"), F.col("key")).alias("x")).dropDuplicates(["lang", "key"])
