@@ -50,4 +50,8 @@ def frame(spark, rows=None, clash: bool = True):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(documents() if rows is None else rows, SCHEMA)
-    return df.withColumns({f"{c}": F.lit("x") for c in CLASHING if "." not in c}).withColumn("a.b", F.lit(1)) if clash else df
+    if not clash:
+        return df
+    df = df.withColumns({f"{c}": F.lit("x") for c in CLASHING if "." not in c}).withColumn("a.b", F.lit(1))
+    # types that have no order
+    return df.withColumn("a map", F.create_map(F.lit("k"), F.col("doc_id"))).withColumn("a variant", F.parse_json(F.lit('{"x": [1]}')))

@@ -60,13 +60,29 @@ def test_simhash_blocks(spark):
 
 
 def test_one_of_each(spark):
+    """One row of each component, with the smallest id there, also where an id names several texts."""
     docs = edge.frame(spark)
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    ids = [r[0] for r in kept.select("doc_id").collect()]
-    want = {c for _, _, c in brute.components(pairs(docs)) if c is not None}
-    assert Counter(i for i in ids if i is not None) == Counter(want)
-    assert ids.count(None) == 1  # the null text's component has ids, the other rows share one fingerprint
+    given = pairs(docs)
+    of = {t: c for (_, t), (_, _, c) in zip(given, brute.components(given), strict=True)}
+    fp = {t: brute.fingerprint(t) for _, t in given}
+    edges = [(a, b) for a in fp.values() for b in fp.values() if (a ^ b).bit_count() <= simhash.DISTANCE]
+    root = brute.unions(edges)
+    got = Counter(root[fp[t]] for _, t in pairs(kept))
+    assert got == Counter({root[fp[t]] for _, t in given})
+    assert all(i == of[t] for i, t in pairs(kept))
+    assert set(pairs(kept)) <= set(given)
+
+
+def test_survivors_are_chosen_by_content(spark):
+    """Rows that repeat id and text differ in other columns; reruns keep the same one."""
+    rows = [(1, "same text here again", "en", f"s{i % 7}", i) for i in range(40)] + [(2, "other", None, None, None)] * 3
+    docs = edge.frame(spark, rows).drop("a variant")
+    for keep in (exactdedup.deduplicated, simhash.one_of_each):
+        first = [str(r) for r in keep(docs).collect()]
+        assert len(first) == 2
+        assert sorted(first) == sorted(str(r) for r in keep(docs.repartition(7).orderBy(F.rand(3))).collect())
 
 
 def test_secrets(docs):

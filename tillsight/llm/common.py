@@ -69,6 +69,12 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[quoted(c) for c in df.columns]).alias("row")
 
 
+def content_order(row: Column) -> Column:
+    """Key that orders rows (a struct) by all they hold, columns that have no order included, such
+    as maps. Only rows with the same content share it."""
+    return F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
+
+
 def spread(df: DataFrame, column: str) -> DataFrame:
     """``df`` dealt by ``column`` to as many partitions as the session shuffles to, which
     adaptive execution leaves as they are: for few rows that are about to become many."""

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import lower_az, quoted, stored, whole_row
+from tillsight.llm.common import content_order, lower_az, quoted, stored, whole_row
 
 SALTS = 16
 
@@ -75,11 +75,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that stay, with all their columns; one of each group of equal texts."""
+    """Rows of ``docs`` that stay, with all their columns; one of each group of equal texts, that
+    of ``exact_groups``. Of rows that repeat the id and text that stay, one is chosen by a hash of
+    all its columns, so reruns agree. Null texts are empty ones; an empty table stays empty."""
     text = F.coalesce(lower_az(quoted(text_col)), F.lit(""))
     stay = exact_groups(docs, id_col, text_col).where("kept").select(quoted(id_col).alias("id"), "text_sha256")
     rows = docs.select(whole_row(docs), quoted(id_col).alias("id"), F.sha2(text, 256).alias("text_sha256"))
     same = rows["id"].eqNullSafe(stay["id"]) & (rows["text_sha256"] == stay["text_sha256"])
     kept = rows.join(stay, same, "left_semi")
-    one = F.row_number().over(Window.partitionBy("id", "text_sha256").orderBy("text_sha256"))
+    one = F.row_number().over(Window.partitionBy("id", "text_sha256").orderBy(content_order(F.col("row"))))
     return kept.select("row", one.alias("n")).where("n = 1").select("row.*")

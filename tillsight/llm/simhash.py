@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from tillsight.llm.common import quoted, row_key, spread, stored, whole_row
+from tillsight.llm.common import content_order, quoted, row_key, spread, stored, whole_row
 from tillsight.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -161,7 +161,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Rows of ``docs`` that stay: one of each component, all columns. It is the row with the
     smallest id, rows without an id last; of texts that share that id the one with the smallest
     fingerprint. Components stay apart even where their rows share an id; of rows that repeat
-    id and text, one stays."""
+    id and text, one stays, chosen by a hash of all its columns, whatever their types."""
     key = row_key(quoted(id_col), quoted(text_col))
     prints = docs.select(quoted(id_col).alias("id"), key.alias("key"), simhash(quoted(text_col)).alias("fp"))
     best = F.struct(F.col("id").isNull().alias("none"), "id", "key")
@@ -169,5 +169,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = F.struct("best.none", "best.id", "fp", "best.key")
     stay = rooted.groupBy("root").agg(F.min(best).alias("best")).select("best.key")
     rows = docs.select(whole_row(docs), key.alias("key")).join(stay, "key", "left_semi")
-    first = F.row_number().over(Window.partitionBy("key").orderBy("row"))
+    first = F.row_number().over(Window.partitionBy("key").orderBy(content_order(F.col("row"))))
     return rows.withColumn("n", first).where("n = 1").select("row.*")
