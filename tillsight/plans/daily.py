@@ -1,5 +1,6 @@
-"""The daily run: every audit and published table in order, each result written before the next
-reads it, for one batch of stores after the other; then load log, load status and report.
+"""The daily run, end to end: typed tables stored by store, dictionaries extended, every audit and
+published table batch by batch, master data, load logs, load status and report; then one commit
+that makes all of it visible, and marks the part files it came from as consumed.
 
 Steps have the shape ``run_batch`` takes. A step sees the typed tables and the results of
 the steps before it under their names.
@@ -8,13 +9,20 @@ the steps before it under their names.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight.operators.dictionaries import DictionaryStore, dictionary_values
+from tillsight.operators.encode import Dictionaries
 from tillsight.plans import classify, control, empties, pricelookup, publish, receiptvoid, reports, suspended, void
+from tillsight.plans.ingest import BUILDERS
+from tillsight.sources.lookups import SEEDS
+from tillsight.sources.runs import Runs
+from tillsight.sources.writers import write_snapshot
+from tillsight.streaming.batches import BatchStatus, Step, batch_by_store, run_batch
 
 Tables = dict[str, DataFrame]
 
@@ -71,7 +79,7 @@ RULE_STEPS = [
 PARTITION_COLUMNS = {"receiptvoiding": "RetailStoreID_1", "suspendedfraud": "RetailStoreID_suspended"}
 
 
-#: published tables that need no dictionary, in order; they read the rule results before them
+#: published tables without a dictionary, in order; they read the rule results before them
 PUBLISH_STEPS = [
     ("published_header", lambda t: publish.publish_header(t["header"], t["classification"], t["retailheader"])),
     ("published_loyalty", lambda t: publish.publish_loyalty(t["loyalty"])),
@@ -80,25 +88,86 @@ PUBLISH_STEPS = [
     ("published_pricelookup", lambda t: publish.publish_pricelookup(t["pricelookup"])),
     ("published_receiptvoid", lambda t: publish.publish_receiptvoid(t["receiptvoiding"])),
     ("published_suspended", lambda t: publish.publish_suspended(t["suspendedfraud"])),
+    (
+        "published_retailheader",
+        lambda t: publish.publish_retailheader(
+            t["retailheader"], t["lineitemderived"], t["sale"], t["return"], t["modifier"], t["customer"]
+        ),
+    ),
 ]
 PUBLISH_PARTITIONS = {"published_receiptvoid": "RetailStoreID_1", "published_suspended": "RetailStoreID_suspended"}
 
 
+def encoded_steps(known: Dictionaries) -> list[Step]:
+    """Published tables with dictionary columns; ``known`` has every text of the run."""
+    return [
+        (
+            "published_lineitem",
+            lambda t: publish.publish_lineitem(t["lineitem"], t["sale"], t["return"], known, known=True)[0],
+        ),
+        (
+            "published_salereturn",
+            lambda t: publish.publish_salereturn(t["sale"], t["return"], t["articles"], t["stores"], known, known=True)[0],
+        ),
+        ("published_tender", lambda t: publish.publish_tender(t["tender"], known, known=True)[0]),
+    ]
+
+
+#: master data, published once a run
+MASTER_STEPS = [
+    ("published_articles", lambda t: publish.publish_articles(t["articles"])),
+    ("published_hierarchy", lambda t: publish.publish_hierarchy(t["hierarchy"])),
+]
+
+#: table of the rules -> builder that makes it of wide transactions
+INGESTED = {
+    "header": "transactionheader", "control": "controltransaction", "functionlog": "functionlog",
+    "lineitem": "lineitem", "loyalty": "loyaltyreward", "headeraddon": "receiptheaderaddonlist",
+    "addon": "receiptpositionaddonlist", "customer": "customer", "modifier": "retailpricemodifier",
+    "return": "return", "sale": "sale", "retailheader": "retailtransactionheader", "tender": "tender",
+    "loan": "tendercontrolloan", "pickup": "tendercontrolpickup", "safesettle": "tendercontrolsafesettle",
+    "tillsettle": "tendercontroltillsettle", "deposit": "tendercontrolpaymentdeposit", "rebate": "salereturn_rebate",
+}
+
+
+def ingest(transactions: DataFrame) -> Tables:
+    """Typed tables of wide transactions, under the names the steps use."""
+    return {name: BUILDERS[builder](transactions) for name, builder in INGESTED.items()}
+
+
 class DailyRun(NamedTuple):
-    """Outcome of a run: ids of the batches that finished, the log of store days, the load
-    status of every store, and the daily report over the stores that finished."""
+    """Outcome of a run: its load id, the ids of the batches that finished, how each batch ended,
+    and its logs and report as they are written."""
 
+    load: int
     finished: list[int]
+    statuses: list[BatchStatus]
     store_log: DataFrame
     load_status: DataFrame
     report: DataFrame
 
 
-def published(root: str, table: str, run: DailyRun) -> DataFrame:
-    """A table as this run has published it: the rows of its finished batches."""
-    spark = run.load_status.sparkSession
-    parts = [spark.read.parquet(f"{root}/{table}/{b}") for b in run.finished]
-    return reduce(DataFrame.unionByName, parts)
+def by_store(runs: Runs, tables: Mapping[str, DataFrame], load: int) -> Tables:
+    """Typed tables written once, a folder for each store, and read back; those without a store
+    column are left as they are. Batches then read the folders of their own stores alone."""
+    out = {}
+    for name, df in tables.items():
+        if "RetailStoreID" in df.columns:
+            path = write_snapshot(df, runs.root, name, load, path=runs.folder(f"typed_{name}", load))
+            df = runs.spark.read.schema(df.schema).parquet(path)
+        out[name] = df
+    return out
+
+
+def of_stores(tables: Mapping[str, DataFrame], stores: Sequence[int]) -> Tables:
+    """The tables cut to some stores by a filter that prunes folders; lookups stay whole."""
+    own = F.col("RetailStoreID").isin(list(stores))
+    return {n: df.where(own) if "RetailStoreID" in df.columns else df for n, df in tables.items()}
+
+
+def published(spark: SparkSession, root: str, table: str, load: int | None = None) -> DataFrame:
+    """A table as the last run (or the one given) has published it, all its batches."""
+    return Runs(spark, root).table(table, load)
 
 
 def daily_run(
@@ -110,38 +179,85 @@ def daily_run(
     history: DataFrame,
     files: DataFrame,
     stores_per_batch: int,
-    steps: Sequence = (*RULE_STEPS, *PUBLISH_STEPS),
+    steps: Sequence[Step] = (*RULE_STEPS, *PUBLISH_STEPS),
+    parts: DataFrame | None = None,
+    folders: Sequence[str] = (),
+    parallel: int = 1,
+    database: str | None = None,
 ) -> DailyRun:
     """Audit and publish the typed tables in batches of stores.
 
-    Tables with a store column are cut to the batch, the others are lookups. A batch that
-    fails publishes nothing; its store days are logged with status E, those of the others
-    with L, and both override the status expected from the list of stores.
+    The run takes a load id above those of ``history`` and of all other runs. Tables with a
+    store column are stored by store once; dictionaries get the texts of the whole run in one
+    scan of each encoded column; then ``parallel`` batches at a time run all ``steps`` and the
+    encoded tables. A batch that fails publishes nothing; its store days are logged with
+    status E, those of the others with L, and both override the status expected from the list
+    of stores. Tables, logs and the consumed ``parts`` (part_filename) become visible in one
+    step at the end; with ``database``, catalog tables are then moved to this run. A run that
+    breaks off before leaves everything as it was, but for dictionary ids, which stay.
+
+    The driver holds the list of stores, not of their days or rows.
     """
-    from tillsight.streaming.batches import batch_by_store, run_batch
-
-    stores = tables["header"].select("RetailStoreID").distinct()
-    batched = batch_by_store(stores, stores_per_batch)
-    ids = sorted(r["batch"] for r in batched.select("batch").distinct().collect())
-    finished, log = [], None
-    for batch in ids:
-        own = batched.where(F.col("batch") == batch).select("RetailStoreID")
-        cut = {
-            name: df.join(own, "RetailStoreID", "left_semi") if "RetailStoreID" in df.columns else df
-            for name, df in tables.items()
-        }
-        status = run_batch(cut, batch, root, steps, PARTITION_COLUMNS | PUBLISH_PARTITIONS)
-        if status.ok:
-            finished.append(batch)
-        days = control.store_days(cut["header"])
-        mark = ("L", 0) if status.ok else ("E", 1)
-        part = control.store_load_log(days, mark[0], started, ended, 0, mark[1], history)
-        log = part if log is None else log.unionByName(part)
-    done = batched.where(F.col("batch").isin(finished)).select("RetailStoreID")
+    spark = tables["header"].sparkSession
+    runs = Runs(spark, root)
+    top = history.agg(F.coalesce(F.max("LoadID").cast("bigint"), F.lit(0))).first()[0]
+    load = runs.start(top, started=started)
+    stored = by_store(runs, tables, load)
+
+    dictionaries = DictionaryStore(spark, f"{runs.root}/dictionaries", SEEDS)
+    known = dictionaries.extend_all(dictionary_values(stored, publish.ENCODED))
+    steps = [*steps, *encoded_steps(known)]
+
+    stores = stored["header"].select("RetailStoreID").where("RetailStoreID is not null").distinct()
+    batches: dict[int, list[int]] = {}
+    for row in batch_by_store(stores, stores_per_batch).orderBy("batch", "RetailStoreID").collect():
+        batches.setdefault(row["batch"], []).append(row["RetailStoreID"])
+
+    def run(batch: int) -> BatchStatus:
+        place = lambda name, b: runs.folder(name, load, b)
+        return run_batch(of_stores(stored, batches[batch]), batch, root, steps, PARTITION_COLUMNS | PUBLISH_PARTITIONS, place)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        statuses = list(pool.map(run, batches))
+    good = [s for s in statuses if s.ok]
+    paths = {name: [s.paths[name] for s in good] for name in (good[0].written if good else ())}
+    schemas = dict(good[0].schemas) if good else {}
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        """A table of the run as a whole."""
+        path = runs.folder(name, load)
+        df.write.parquet(path)
+        paths[name], schemas[name] = [path], df.schema
+        return spark.read.schema(df.schema).parquet(path)
+
+    for name, step in MASTER_STEPS:
+        write(name, step(stored))
+    before = spark.createDataFrame([(load - 1,)], "LoadID bigint")
+    ends = [(s, b.ok) for b in statuses for s in batches[b.batch_id]]
+    ended_as = spark.createDataFrame(ends, "RetailStoreID bigint, _ok boolean")
+    days = control.store_days(stored["header"]).join(ended_as, "RetailStoreID")
+    logs = [
+        control.store_load_log(days.where(which), status, started, ended, 0, errors, before)
+        for which, status, errors in (("_ok", "L", 0), ("not _ok", "E", 1))
+    ]
+    store_log = write("store_load_log", logs[0].unionByName(logs[1]))
+    failed = len(statuses) - len(good)
+    write("run_load_log", control.run_load_log(days, folders, started, ended, 0, failed, before))
     expected = control.store_status(tables["stores"], run_date)
-    return DailyRun(
-        finished,
-        log,
-        control.merge_load_status(expected, log, history),
-        reports.daily_report(tables["header"].join(done, "RetailStoreID", "left_semi"), files),
-    )
+    received = days.join(expected.select("RetailStoreID", "Status"), "RetailStoreID")
+    received = received.select("RetailStoreID", F.col("BusinessDate").alias("Date"), "Status")
+    events = control.stores_missing_data(tables["stores"], days, ended).unionByName(control.stores_unexpected_data(received, ended))
+    write("event_log", control.stamp_load_id(events, before))
+    write("file_register", files)
+    load_status = write("load_status", control.merge_load_status(expected, store_log, before))
+    done = spark.createDataFrame([(s,) for s, ok in ends if ok], "RetailStoreID bigint")
+    report = write("daily_report", reports.daily_report(stored["header"].join(done, "RetailStoreID", "left_semi"), files))
+
+    consumed = None
+    if parts is not None:
+        consumed = runs.folder("consumed_parts", load)
+        parts.select("part_filename").distinct().withColumn("status", F.lit(1)).write.parquet(consumed)
+    runs.publish(load, paths, schemas, consumed)
+    if database:
+        runs.register(database, list(paths))
+    return DailyRun(load, [s.batch_id for s in good], statuses, store_log, load_status, report)

@@ -10,34 +10,53 @@ from pyspark.sql import functions as F
 from tillsight.functions.keys import LINE_BY_NUMBER, RECEIPT, RECEIPT_BY_NUMBER
 from tillsight.functions.scalars import equals_ignore_case, literal_map, signed_amount
 from tillsight.operators.dedup import dedup_by_key
-from tillsight.operators.encode import encode_columns
+from tillsight.operators.dictionaries import dictionary_values
+from tillsight.operators.encode import Dictionaries, encode_columns
 from tillsight.plans.followup import employee_followup, voided_in_followup
 from tillsight.plans.masterdata import resolve_item_codes
 from tillsight.plans.void import full_rebate_flag, void_counters, voided_is_last
 from tillsight.sources.lookups import TRANSACTION_STATUS, TRANSACTION_TYPE
 
-Dictionaries = dict[str, tuple[DataFrame, str, str]]
 Store = Callable[[str, DataFrame], DataFrame]
 
 
+#: raw columns that carry the texts of each dictionary: (table, column)
+ENCODED = {
+    "EntryMethod": [("lineitem", "EntryMethod")],
+    "ItemType": [("sale", "ItemType"), ("return", "ItemType")],
+    "CardType": [("tender", "CardType")],
+    "TypeCode": [("tender", "TypeCode")],
+    "TenderID": [("tender", "TenderID")],
+}
+
+
 def _in_place(name: str, extended: DataFrame) -> DataFrame:
     return extended
 
 
+def _values(known: bool, tables: dict[str, DataFrame], *names: str) -> dict[str, DataFrame | None]:
+    """Texts of the named dictionaries from the raw tables; none where all are known."""
+    found = dictionary_values(tables, {n: ENCODED[n] for n in names})
+    return {n: None if known else found[n] for n in names}
+
+
 def publish_lineitem(
     lineitem: DataFrame,
     sale: DataFrame,
     returns: DataFrame,
     dictionaries: Dictionaries,
     store: Store = _in_place,
-) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Lines with void position, reappearance and derived void, entry method encoded."""
+    known: bool = False,
+) -> tuple[DataFrame, Dictionaries]:
+    """Lines with void position, reappearance and derived void, entry method encoded. With
+    ``known`` the dictionary has all texts already."""
     last = voided_is_last(lineitem, sale, returns).select(*LINE_BY_NUMBER, "VoidedIsLastItem")
     lines = voided_in_followup(lineitem, sale, returns).join(last, LINE_BY_NUMBER, "left").select(
         *LINE_BY_NUMBER, "EntryMethod", "VoidFlag", "LineItemBeginDateTime", "DirectVoidFlag",
         "Amount", "VoidedIsLastItem", "VoidedIsInFollowup", "VoidFlagDerived",
     )
-    return encode_columns(lines, dictionaries, ["EntryMethod"], store)
+    values = _values(known, {"lineitem": lineitem}, "EntryMethod")
+    return encode_columns(lines, dictionaries, ["EntryMethod"], store, values)
 
 
 HEADER_COLUMNS = [
@@ -137,12 +156,14 @@ def publish_salereturn(
     stores: DataFrame,
     dictionaries: Dictionaries,
     store: Store = _in_place,
-) -> tuple[DataFrame, dict[str, DataFrame]]:
+    known: bool = False,
+) -> tuple[DataFrame, Dictionaries]:
     store_type = stores.select(F.col("StoreID").alias("RetailStoreID"), "IsEBUSStore")
     resolved = resolve_item_codes(merge_sale_return(sale, returns), articles).join(
         store_type, "RetailStoreID"
     )
-    return encode_columns(resolved, dictionaries, ["ItemType"], store)
+    values = _values(known, {"sale": sale, "return": returns}, "ItemType")
+    return encode_columns(resolved, dictionaries, ["ItemType"], store, values)
 
 
 TENDER_COLUMNS = [
@@ -153,10 +174,11 @@ TENDER_COLUMNS = [
 
 
 def publish_tender(
-    tender: DataFrame, dictionaries: Dictionaries, store: Store = _in_place
-) -> tuple[DataFrame, dict[str, DataFrame]]:
+    tender: DataFrame, dictionaries: Dictionaries, store: Store = _in_place, known: bool = False
+) -> tuple[DataFrame, Dictionaries]:
     rows = tender.select(*TENDER_COLUMNS, F.lit(None).cast("int").alias("Tip"))
-    return encode_columns(rows, dictionaries, ["CardType", "TypeCode", "TenderID"], store)
+    names = ["CardType", "TypeCode", "TenderID"]
+    return encode_columns(rows, dictionaries, names, store, _values(known, {"tender": tender}, *names))
 
 
 def publish_suspended(suspended: DataFrame) -> DataFrame:

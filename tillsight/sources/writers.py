@@ -20,14 +20,15 @@ def write_snapshot(
     batch_id: int,
     partition_by: str = "RetailStoreID",
     rows_per_file: int = ROWS_PER_FILE,
+    path: str | None = None,
 ) -> str:
-    """Write ``<root>/<table>/<batch_id>`` partitioned by store.
+    """Write ``<root>/<table>/<batch_id>``, or ``path``, partitioned by store.
 
     Rows are brought together by store, and adaptive execution splits stores that exceed the
     advisory partition size in bytes and merges small ones: a store of any size is written by
     as many tasks as its bytes need.
     """
-    path = f"{root}/{table}/{batch_id}"
+    path = path or f"{root}/{table}/{batch_id}"
     (
         df.hint("rebalance", F.col(partition_by))
         .write.partitionBy(partition_by)

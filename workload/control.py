@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tillsight.plans import control, daily, reports
 from tillsight.sources.session import scratch_path
-from workload.registry import query
+from workload import publish, rules  # noqa: F401 - their queries state the rows of published tables
+from workload.registry import ENTRIES, query
 from workload.rules import class_texts
 from workload.stages import stage
 
@@ -15,7 +16,7 @@ LOAD_DAY = "2024-01-15"
 #: typed tables of a run
 TYPED = (
     "header retailheader lineitem sale return tender loyalty addon modifier stores control functionlog "
-    "pickup deposit loan tillsettle safesettle articles hierarchy headeraddon"
+    "pickup deposit loan tillsettle safesettle articles hierarchy headeraddon customer"
 ).split()
 
 
@@ -172,38 +173,134 @@ def _(t):
     return reports.incorrect_receipts(stage(t, "classification"))
 
 
-_DONE = "(select RetailStoreID, ceil(row_number() over (order by RetailStoreID) / 5.0) as batch from (select distinct RetailStoreID from {header}) q)"
+_BATCH = "(select RetailStoreID, ceil(row_number() over (order by RetailStoreID) / 5.0) as batch from (select distinct RetailStoreID from {header}) q)"
+#: runs of this session: the outcome of a run over one directory serves all queries on it
+_runs: dict[tuple[str, str], daily.DailyRun] = {}
 
 
-@query(
-    "daily_run",
-    f"select s.StoreID as RetailStoreID, case when d.x is not null then {_HISTORY} end as LoadID, "
-    f"case when d.x is null then {_STATUS} when d.batch = 2 then 'E' else 'L' end as Status, cast('{LOAD_DAY}' as date) as Date, Reason, "
-    "coalesce(c.n, 0) as transactions, coalesce(p.n, 0) as points, coalesce(v.n, 0) as report_days from {stores} s "
-    f"left join (select distinct h.RetailStoreID, batch, 1 as x from {{header}} h join {_DONE} b using (RetailStoreID) where cast(ReceiptDateTime as date) = date '{LOAD_DAY}') d on d.RetailStoreID = s.StoreID "
-    f"left join (select RetailStoreID, count(*) as n from {{employee}} join {_DONE} b using (RetailStoreID) where batch <> 2 group by 1) c on c.RetailStoreID = s.StoreID "
-    "left join (select RetailStoreID, count(*) as n from (select distinct RetailStoreID, WorkstationID, ReceiptDateTime, ReceiptNumber, coalesce(ReferenceID, 0) as a, coalesce(RuleDescription, '0') as b "
-    f"from {{loyalty}}) y join {_DONE} b using (RetailStoreID) where batch <> 2 group by 1) p on p.RetailStoreID = s.StoreID "
-    f"left join (select RetailStoreID, count(distinct cast(ReceiptDateTime as date)) as n from {{header}} join {_DONE} b using (RetailStoreID) where batch <> 2 group by 1) v on v.RetailStoreID = s.StoreID",
-)
-def _(t):
-    """Whole run over all stores, five a batch. The second batch fails while it publishes."""
-    root = scratch_path(t.spark, "daily")
+def finished_run(t) -> tuple[str, daily.DailyRun]:
+    """Whole run over all stores, five a batch, two batches at a time. The second batch fails
+    while it publishes. A run over the same root before it shows that only the last is read."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key in _runs:
+        return _runs[key]
 
     def check(known):
         return known["header"].select("RetailStoreID").distinct().withColumn(
             "checked", F.when(F.col("RetailStoreID") == 7, F.raise_error(F.lit("store 7 is broken")).cast("int")).otherwise(1)
         )
 
+    root = scratch_path(t.spark, "daily")
     tables = {n: t[n] for n in TYPED} | {"class_texts": class_texts(t)}
     steps = [*daily.RULE_STEPS, *daily.PUBLISH_STEPS, ("published_check", check)]
-    run = daily.daily_run(tables, root, RUN_DATE, STARTED, ENDED, history(t), files(t), 5, steps)
+    parts = t["receipt"].select(F.concat(F.lit("part-"), (F.col("k") % 50).cast("string")).alias("part_filename"))
+    run = daily.daily_run(
+        tables, root, RUN_DATE, STARTED, ENDED, history(t), files(t), 5, steps,
+        parts=parts, folders=["in/a", "in/b"], parallel=2,
+    )
+    _runs[key] = root, run
+    return _runs[key]
+
+
+@query(
+    "daily_run",
+    f"select s.StoreID as RetailStoreID, case when d.x is not null then {_HISTORY} end as LoadID, "
+    f"case when d.x is null then {_STATUS} when d.batch = 2 then 'E' else 'L' end as Status, cast('{LOAD_DAY}' as date) as Date, Reason, "
+    "coalesce(c.n, 0) as transactions, coalesce(p.n, 0) as points, coalesce(v.n, 0) as report_days from {stores} s "
+    f"left join (select distinct h.RetailStoreID, batch, 1 as x from {{header}} h join {_BATCH} b using (RetailStoreID) where cast(ReceiptDateTime as date) = date '{LOAD_DAY}') d on d.RetailStoreID = s.StoreID "
+    f"left join (select RetailStoreID, count(*) as n from {{employee}} join {_BATCH} b using (RetailStoreID) where batch <> 2 group by 1) c on c.RetailStoreID = s.StoreID "
+    "left join (select RetailStoreID, count(*) as n from (select distinct RetailStoreID, WorkstationID, ReceiptDateTime, ReceiptNumber, coalesce(ReferenceID, 0) as a, coalesce(RuleDescription, '0') as b "
+    f"from {{loyalty}}) y join {_BATCH} b using (RetailStoreID) where batch <> 2 group by 1) p on p.RetailStoreID = s.StoreID "
+    f"left join (select RetailStoreID, count(distinct cast(ReceiptDateTime as date)) as n from {{header}} join {_BATCH} b using (RetailStoreID) where batch <> 2 group by 1) v on v.RetailStoreID = s.StoreID",
+)
+def _(t):
+    root, run = finished_run(t)
     out = run.load_status
     counted = {
-        "transactions": daily.published(root, "published_header", run),
-        "points": daily.published(root, "published_loyalty", run),
+        "transactions": daily.published(t.spark, root, "published_header"),
+        "points": daily.published(t.spark, root, "published_loyalty"),
         "report_days": run.report,
     }
     for name, df in counted.items():
         out = out.join(df.groupBy("RetailStoreID").agg(F.count(F.lit(1)).alias(name)), "RetailStoreID", "left").fillna(0, [name])
     return out
+
+
+#: published table -> registered query of its rows, store column, and a whole number of each row
+_PUBLISHED = {
+    "published_header": ("publish_header", "RetailStoreID", "TransactionType"),
+    "published_loyalty": ("publish_loyalty", "RetailStoreID", "PointsAwarded"),
+    "published_modifiers": ("publish_modifiers", "RetailStoreID", "PriceModifierSequenceNumber"),
+    "published_empties": ("publish_empties", "RetailStoreID", "LineItemSequenceNumber"),
+    "published_pricelookup": ("publish_pricelookup", "RetailStoreID", "ReceiptNumberFL"),
+    "published_receiptvoid": ("publish_receiptvoid", "RetailStoreID_1", "SequenceNumber_1"),
+    "published_suspended": ("publish_suspended", "RetailStoreID_suspended", "ReceiptNumber_suspended"),
+    "published_retailheader": ("publish_retailheader", "RetailStoreID", "TransactionStatus"),
+    "published_lineitem": ("publish_lineitem", "RetailStoreID", "EntryMethod"),
+    "published_salereturn": ("publish_salereturn", "RetailStoreID", "ItemType"),
+    "published_tender": ("publish_tender", "RetailStoreID", "1000000 * TypeCode + 1000 * TenderID + CardType"),
+}
+
+
+def _published_sql() -> str:
+    parts = [
+        f"select '{name}' as table_name, x.{store} as RetailStoreID, count(*) as n, cast(sum({number}) as bigint) as total "
+        f"from ({ENTRIES[of].sql}) x join {_BATCH} b on b.RetailStoreID = x.{store} where batch <> 2 group by x.{store}"
+        for name, (of, store, number) in _PUBLISHED.items()
+    ]
+    parts += [
+        f"select '{name}', cast(null as bigint), count(*), cast(null as bigint) from ({ENTRIES[of].sql}) x"
+        for name, of in (("published_articles", "publish_masterdata"), ("published_hierarchy", "publish_hierarchy"))
+    ]
+    return " union all ".join(parts)
+
+
+@query("daily_run_tables", _published_sql())
+def _(t):
+    """Rows of every published table by store, and the sum of its encoded or numeric column."""
+    root, run = finished_run(t)
+    out = None
+    for name, (_, store, number) in _PUBLISHED.items():
+        df = daily.published(t.spark, root, name, run.load).groupBy(F.col(store).alias("RetailStoreID"))
+        part = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr(number)).cast("bigint").alias("total"))
+        part = part.select(F.lit(name).alias("table_name"), "RetailStoreID", "n", "total")
+        out = part if out is None else out.unionByName(part)
+    none = F.lit(None).cast("bigint")
+    for name, _ in daily.MASTER_STEPS:
+        df = daily.published(t.spark, root, name, run.load)
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), none.alias("RetailStoreID"), "n", none.alias("total")))
+    return out
+
+
+_DAYS = f"(select distinct h.RetailStoreID, batch, cast(ReceiptDateTime as date) as BusinessDate from {{header}} h join {_BATCH} b using (RetailStoreID))"
+
+
+@query(
+    "daily_run_logs",
+    f"select 'store_load_log' as log, RetailStoreID, cast(BusinessDate as varchar) as day, case when batch = 2 then 'E' else 'L' end as state, {_HISTORY} as LoadID, 1 as n from {_DAYS} d "
+    f"union all select 'run_load_log', null, '{STARTED}', 'in/a,in/b', {_HISTORY}, count(distinct RetailStoreID) from {_DAYS} d "
+    f"union all select 'event_log', StoreID, '{ENDED}', 'E', {_HISTORY}, 1 from {{stores}} where Status = 'Aktiv' and StoreID not in (select RetailStoreID from {_DAYS} d) "
+    f"union all select 'event_log', StoreID, '{ENDED}', 'W', {_HISTORY}, count(*) from {{stores}} join {_DAYS} d on d.RetailStoreID = StoreID where Status = 'Inaktiv (temp.)' group by StoreID "
+    f"union all select 'file_register', RetailStoreID, cast(BusinessDate as varchar), '0', null, count(*) from ({_FILES}) x group by all "
+    "union all select 'consumed_parts', null, 'part-' || cast(k % 50 as varchar), '1', null, 1 from {receipt} group by k % 50",
+)
+def _(t):
+    """Logs, events, file register and consumed part files of the run, as they are written."""
+    from tillsight.sources.runs import Runs
+
+    root, run = finished_run(t)
+    runs = Runs(t.spark, root)
+    none = F.lit(None).cast("bigint")
+    one = F.lit(1).cast("bigint").alias("n")
+    rows = {
+        "store_load_log": lambda d: d.select("RetailStoreID", F.col("BusinessDate").cast("string").alias("day"), F.col("Status").alias("state"), "LoadID", one),
+        "run_load_log": lambda d: d.select(none.alias("RetailStoreID"), F.col("StartDateTime").alias("day"), F.col("SourceFolder").alias("state"), "LoadID", F.col("StoreCount").alias("n")),
+        "event_log": lambda d: d.groupBy("RetailStoreID", F.col("EventDateTime").alias("day"), F.col("Level").alias("state"), "LoadID").agg(F.count(F.lit(1)).alias("n")),
+        "file_register": lambda d: d.groupBy("RetailStoreID", F.col("BusinessDate").cast("string").alias("day"), F.col("IsDeleted").cast("string").alias("state")).agg(F.count(F.lit(1)).alias("n")).withColumn("LoadID", none),
+    }
+    parts = [f(runs.table(name, run.load)).withColumn("log", F.lit(name)) for name, f in rows.items()]
+    parts.append(runs.consumed().select(none.alias("RetailStoreID"), F.col("part_filename").alias("day"), F.col("status").cast("string").alias("state"), none.alias("LoadID"), one, F.lit("consumed_parts").alias("log")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
