@@ -89,10 +89,11 @@ def test_undominated():
     counts = [0] * 11
     for x, n in {6: 1, 4: 1, 3: 1, 2: 2}.items():
         counts[x] = n
-    assert packing.undominated(((6, 1), (4, 1)), 0, counts)
-    assert not packing.undominated(((6, 1), (3, 1)), 1, counts)  # 4 for 3
-    assert not packing.undominated(((6, 1), (2, 2)), 0, counts)  # 4 for 2 and 2
-    assert not packing.undominated(((6, 1), (2, 1)), 2, counts)  # room for another
+    best = lambda filling, left: packing.undominated(filling, left, counts, 1 << 6 | 1 << 4 | 1 << 3 | 1 << 2)
+    assert best(((6, 1), (4, 1)), 0)
+    assert not best(((6, 1), (3, 1)), 1)  # 4 for 3
+    assert not best(((6, 1), (2, 2)), 0)  # 4 for 2 and 2
+    assert not best(((6, 1), (2, 1)), 2)  # room for another
 
 
 TEXTS = [

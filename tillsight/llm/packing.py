@@ -21,7 +21,7 @@ from __future__ import annotations
 import os
 import sys
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -44,7 +44,7 @@ END = 0
 #: characters of a text that are tokenised at once, and of a run that can't be parted there
 SLICE, RUN = 1 << 18, 1 << 16
 #: branches that the search tries, fillings tried at one, and steps of their enumeration
-BRANCHES, FILLINGS, STEPS = 20_000, 8, 400
+BRANCHES, FILLINGS, STEPS = 10_000, 4, 400
 #: (length, pieces of it) of a sequence, and number of sequences so filled
 Filling = tuple[tuple[tuple[int, int], ...], int]
 
@@ -184,57 +184,50 @@ def least_sequences(counts: dict[int, int], capacity: int) -> int:
     return max(most, -(-total // capacity))
 
 
-def undominated(filling: tuple, left: int, counts: list[int]) -> bool:
+def undominated(filling: tuple, left: int, counts: list[int], free: int) -> bool:
     """Whether no single piece that is left over could take the place of some pieces of the
-    filling, or be added, and leave less space: such a filling need not be tried."""
-    sums = 1
-    free = 0
-    used = dict(filling)
-    for length, times in filling[1:]:
-        for _ in range(times):
-            sums |= sums << length
-    for length in range(1, len(counts)):
-        if counts[length] > used.get(length, 0):
-            free |= 1 << length
-    for more in range(left + 1):
-        better = (sums << more) & free
-        if more == 0:  # of equal length only a piece in place of several is better
-            for length in used:
-                better &= ~(1 << length)
-        if better:
-            return False
-    return True
-
-
-def fillings(counts: list[int], largest: int, capacity: int, waste: int) -> list[tuple]:
+    filling, or be added, and leave less space: such a filling need not be tried. ``free`` has
+    a bit for each length of which pieces are left before the filling is taken."""
+    sums, used = 1, 0
+    for i, (length, times) in enumerate(filling):
+        used |= 1 << length
+        if counts[length] == times:
+            free &= ~(1 << length)
+        if i:
+            for _ in range(times):
+                sums |= sums << length
+    more, width = sums << 1, 1  # sums that up to ``left`` more would be
+    while width < left:
+        step = min(width, left - width)
+        more |= more << step
+        width += step
+    if left and more & free:
+        return False
+    # of equal length only a piece in place of several is better
+    return not sums & free & ~used
+
+
+def fillings(counts: list[int], largest: int, capacity: int, waste: int, sizes: list[int], free: int) -> list[tuple]:
     """Undominated fillings around one piece of the largest length with at most ``waste`` left,
-    fullest first: [(length, pieces), ...]. ``STEPS`` bounds how long they are looked for."""
-    sizes = [x for x in range(largest, 0, -1) if counts[x]]
+    fullest first: [(length, pieces), ...]. ``sizes`` are the lengths left, ascending.
+    ``STEPS`` bounds how long fillings are looked for."""
     found: list[tuple[int, tuple]] = []
     steps = STEPS
-    stack = [(0, capacity - largest, ((largest, 1),))]
-    while stack and steps and len(found) < 4 * FILLINGS:
+    stack = [(len(sizes) - 1, capacity - largest, ((largest, 1),))]
+    while stack and steps and len(found) < FILLINGS:
         steps -= 1
         at, left, filling = stack.pop()
-        while at < len(sizes) and sizes[at] > left:
-            at += 1
-        if at == len(sizes) or left == 0:
-            if left <= waste and undominated(filling, left, counts):
+        at = min(at, bisect_right(sizes, left) - 1)
+        if at < 0:
+            if left <= waste and undominated(filling, left, counts, free):
                 found.append((left, filling))
-                if left == 0:
-                    waste = min(waste, 0) if len(found) >= FILLINGS else waste
             continue
         size = sizes[at]
         most = min(left // size, counts[size] - (size == largest))
         for times in range(most + 1):  # the last is tried first
             new = filling if not times else ((largest, 1 + times),) if size == largest else (*filling, (size, times))
-            stack.append((at + 1, left - times * size, new))
-    return [f for _, f in sorted(found, key=lambda x: x[0])[:FILLINGS]]
-
-
-class Node(NamedTuple):
-    choices: Iterator
-    largest: int
+            stack.append((at - 1, left - times * size, new))
+    return [f for _, f in sorted(found, key=lambda x: x[0])]
 
 
 def complete(counts: dict[int, int], capacity: int, branches: int = BRANCHES) -> list[Filling]:
@@ -248,52 +241,56 @@ def complete(counts: dict[int, int], capacity: int, branches: int = BRANCHES) ->
     left = [0] * (capacity + 1)
     for x, n in counts.items():
         left[x] = n
+    sizes, free, sequences = sorted(counts), sum(1 << x for x in counts), 0
+
+    def taken(f: tuple, n: int) -> None:
+        """Take a filling ``n`` times out of what is left, or put it back if ``n`` is below 0."""
+        nonlocal free, sequences, tokens
+        for x, k in f:
+            before, left[x] = left[x], left[x] - k * n
+            if not left[x]:
+                sizes.pop(bisect_left(sizes, x))
+                free &= ~(1 << x)
+            elif not before:
+                insort(sizes, x)
+                free |= 1 << x
+        sequences += n
+        tokens -= n * sum(x * k for x, k in f)
+
     tokens = sum(x * n for x, n in counts.items())
     chosen: list[Filling] = []
-    sequences = 0
 
     def choices(largest: int) -> Iterator[Filling]:
         # space that may be wasted here if the incumbent is to be beaten
         waste = (used - 1 - sequences) * capacity - tokens
-        for f in fillings(left, largest, capacity, waste):
+        for f in fillings(left, largest, capacity, waste, sizes, free):
             most = min(left[x] // n for x, n in f)
             yield f, most
             if most > 1:
                 yield f, 1
 
-    top = max(counts)
-    stack = [Node(choices(top), top)]
+    stack = [choices(sizes[-1])]
     opened: list[bool] = [False]
     while stack and branches and used > bound:
         branches -= 1
         if opened[-1]:  # take back the last choice here
             f, n = chosen.pop()
-            for x, k in f:
-                left[x] += k * n
-            sequences -= n
-            tokens += n * sum(x * k for x, k in f)
+            taken(f, -n)
             opened[-1] = False
-        step = next(stack[-1].choices, None)
+        step = next(stack[-1], None)
         if step is None:
             stack.pop()
             opened.pop()
             continue
-        f, n = step
-        for x, k in f:
-            left[x] -= k * n
-        sequences += n
-        tokens -= n * sum(x * k for x, k in f)
+        taken(*step)
         chosen.append(step)
         opened[-1] = True
         if sequences + -(-tokens // capacity) >= used:
             continue
-        top = stack[-1].largest
-        while top and not left[top]:
-            top -= 1
-        if not top:
+        if not sizes:
             best, used = list(chosen), sequences
             continue
-        stack.append(Node(choices(top), top))
+        stack.append(choices(sizes[-1]))
         opened.append(False)
     return best
 
