@@ -102,7 +102,7 @@ def test_large_counts(spark):
     got = [x[0] for x in df.select(divergence.share(F.col("n"), F.col("total"), F.col("terms"))).collect()]
     assert got == [1 + 10**9 * (big + 1) // (big + 12), 1 + 10**9 // 2]
     sources = pd.DataFrame({"source": ["a", "a\0"], "block": [0, 0], "base": [1, 10**9 + 1]})
-    cell = divergence.compared(("x", 0, 0, 0), pd.DataFrame({"source": ["a"], "term": [b"t"], "p": [2]}), sources)
+    cell = divergence.compared(("x", 0, 0, 0), pd.DataFrame({"source": ["a"], "term": ["t"], "p": [2]}), sources)
     assert set(cell.itertuples(index=False, name=None)) == {
         ("x", "a", "a\0", (10**9 - 1) ** 2 // (10**9 + 1), 1),
         ("x", "a\0", "a", (10**9 - 1) ** 2 // 2, 1),

@@ -19,11 +19,12 @@ source are added by their number. All sums are of whole numbers and exact.
 from __future__ import annotations
 
 import sys
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,57 +38,64 @@ LEAST_DOCUMENTS, RANKS, SCALE = 3, 200, 10**9
 #: A-Z in lower case; what is no letter and below 128 parts terms
 WORDS = bytes(b if b > 127 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 #: bytes cut into terms at once, terms a task counts before it passes them on
-SLICE, COUNTED = 1 << 20, 400_000
+SLICE, COUNTED = 4 << 20, 1_000_000
 #: rows of a task that are thinned at once, and levels of a count that are told apart there
-BLOCK, LEVELS = 100_000, 512
+BLOCK, LEVELS = 500_000, 512
 #: tasks that merge the skybands of one group
 SALTS = 8
 #: sources of a block, and terms of a bucket
 SOURCES, TERMS = 64, 16_384
 
-COUNTS = "lang string, source string, term binary, n long, docs long"
+COUNTS = "lang string, source string, term string, n long, docs long"
 
 
-def terms_of(text: bytes) -> Iterator[list[bytes]]:
-    """Terms of a text in UTF-8, part by part."""
-    clean, at = text.translate(WORDS), 0
-    while at < len(clean):
-        end = clean.find(b" ", at + SLICE)
-        end = len(clean) if end < 0 else end
-        yield clean[at:end].split()
-        at = end
+def counted_part(texts: pa.StringArray, groups: pa.Array) -> pa.Table:
+    """(group, term, n, docs) of some texts; terms are parted by single spaces or several."""
+    lists = pc.ascii_split_whitespace(texts)
+    each = pa.table({"doc": pc.list_parent_indices(lists), "term": pc.list_flatten(lists)})
+    each = each.filter(pc.not_equal(each["term"], ""))
+    by_doc = each.group_by(["doc", "term"], use_threads=False).aggregate([([], "count_all")])
+    by_doc = pa.table({"group": groups.take(by_doc["doc"].combine_chunks()), "term": by_doc["term"], "n": by_doc["count_all"]})
+    out = by_doc.group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("n", "count")])
+    return pa.table({"group": out["group"], "term": out["term"], "n": out["n_sum"], "docs": out["n_count"]})
 
 
-def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of each term, and documents that have it, by language and source. A group
     gives one row without a term besides, so that it is there even if it has none."""
-    n: dict = defaultdict(Counter)
-    docs: dict = defaultdict(Counter)
-    size = 0
-
-    def flushed() -> Iterator[pd.DataFrame]:
-        for (lang, source), own in n.items():
-            yield pd.DataFrame({"lang": lang, "source": source, "term": [None], "n": 0, "docs": 0})
-            if own:
-                term = list(own)
-                has = docs[lang, source]
-                yield pd.DataFrame({"lang": lang, "source": source, "term": term, "n": list(own.values()), "docs": [has[t] for t in term]})
+    ids: dict[tuple, int] = {}
+    held: list[pa.Table] = []
+
+    def named(rows: pa.Table) -> pa.Table:
+        lang, source = (pa.array([g[k] for g in ids], pa.string()) for k in (0, 1))
+        group = rows["group"].combine_chunks()
+        return pa.table([lang.take(group), source.take(group), *(rows[c] for c in ("term", "n", "docs"))], ["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
-        for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-            own, seen = n[lang, source], set()
-            before = len(own)
-            for words in terms_of(text):
-                own.update(words)
-                seen.update(words)
-            docs[lang, source].update(seen)
-            size += len(own) - before
-            if size >= COUNTED:
-                yield from flushed()
-                n.clear()
-                docs.clear()
-                size = 0
-    yield from flushed()
+        texts = batch["text"].cast(pa.string())
+        valid, ends, data = texts.buffers()
+        clean = (data.to_pybytes() if data else b"").translate(WORDS)
+        texts = pa.StringArray.from_buffers(len(texts), ends, pa.py_buffer(clean), valid, texts.null_count, texts.offset)
+        pairs = zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), strict=True)
+        groups = pa.array([ids.setdefault(g, len(ids)) for g in pairs], pa.int32())
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+            held.append(counted_part(texts.slice(at, end - at), groups.slice(at, end - at)))
+            at = end
+            if sum(map(len, held)) >= COUNTED:
+                whole = pa.concat_tables(held).group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+                held = [whole.rename_columns(["group", "term", "n", "docs"])]
+                if len(whole) >= COUNTED // 2:
+                    yield from named(held.pop()).to_batches()
+    if ids:
+        none = pa.array(range(len(ids)), pa.int32())
+        zero = pa.array([0] * len(ids), pa.int64())
+        held.append(pa.table({"group": none, "term": pa.nulls(len(ids), pa.string()), "n": zero, "docs": zero}))
+        yield from named(pa.concat_tables(held)).to_batches()
+        held.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -97,9 +105,9 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     rows = docs.select(
         F.coalesce(quoted(lang_col).cast("string"), empty).alias("lang"),
         F.coalesce(quoted(source_col).cast("string"), empty).alias("source"),
-        F.coalesce(quoted(text_col).cast("string"), empty).cast("binary").alias("text"),
+        F.coalesce(quoted(text_col).cast("string"), empty).alias("text"),
     )
-    parts = rows.mapInPandas(counted, COUNTS)
+    parts = rows.mapInArrow(counted, COUNTS)
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -145,41 +153,46 @@ def thinned(k: int, block: int = BLOCK):
     """Drops rows that cannot be among the first ``k`` of their group, block by block; rows come
     in the order of their terms' UTF-8."""
 
-    def thin(rows: pd.DataFrame) -> pd.DataFrame:
-        keep = [np.asarray(at)[skyband(*(rows[c].to_numpy()[at] for c in ("n", "lang_n")), k)] for at in rows.groupby(["lang", "source"], sort=False).indices.values()]
-        return rows.iloc[np.sort(np.concatenate(keep))]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+    def thin(rows: pa.Table) -> pa.Table:
+        lang, source = (rows[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
+        group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+        order = np.argsort(group, kind="stable")
+        n, lang_n = (rows[c].to_numpy() for c in ("n", "lang_n"))
+        ends = np.flatnonzero(np.diff(group[order])) + 1
+        keep = [at[skyband(n[at], lang_n[at], k)] for at in np.split(order, ends)]
+        return rows.take(np.sort(np.concatenate(keep)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            size += len(batch)
-            if size >= block:
-                yield thin(pd.concat(held, ignore_index=True))
-                held, size = [], 0
-        if size:
-            yield thin(pd.concat(held, ignore_index=True))
+            if sum(map(len, held)) >= block:
+                yield from thin(pa.Table.from_batches(held)).to_batches()
+                held = []
+        if sum(map(len, held)):
+            yield from thin(pa.Table.from_batches(held)).to_batches()
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
-SKYBAND = "lang string, source string, term binary, n long, lang_n long"
+SKYBAND = "lang string, source string, term string, n long, lang_n long"
 
 
 def leading_terms(rows: DataFrame, groups: DataFrame, k: int = RANKS) -> DataFrame:
     """First ``k`` terms of each group with a higher share there than in the language: (lang,
     source, part, item, value, rank). ``rows``: SKYBAND, without rows of count 0."""
     thin = thinned(k)
-    few = rows.sortWithinPartitions("term").mapInPandas(thin, SKYBAND)
+    few = rows.sortWithinPartitions("term").mapInArrow(thin, SKYBAND)
     salt = F.pmod(F.xxhash64("term"), F.lit(SALTS))
-    few = few.repartition("lang", "source", salt).sortWithinPartitions("term").mapInPandas(thin, SKYBAND)
+    few = few.repartition("lang", "source", salt).sortWithinPartitions("term").mapInArrow(thin, SKYBAND)
     known = few.join(groups, ["lang", "source"])
     known = known.withColumn("p", share(F.col("n"), F.col("total"), F.col("terms")))
     known = known.withColumn("q", share(F.col("lang_n"), F.col("lang_total"), F.col("terms"))).where("p > q")
     known = known.withColumn("value", divergence(F.col("p"), F.col("q")))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term")
     ranked = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("lang", "source", F.lit("term").alias("part"), F.col("term").cast("string").alias("item"), "value", "rank")
+    return ranked.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
 
 
 PAIRS = "lang string, source string, item string, value long, seen long"
