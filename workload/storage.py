@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
+from tillsight.operators.dictionaries import DictionaryStore
+from tillsight.operators.encode import encode
 from tillsight.plans import masterdata, publish, reports
 from tillsight.sources import readers, writers
 from tillsight.sources.lookups import SEEDS, seed
+from tillsight.sources.runs import Runs, unconsumed_parts
 from tillsight.sources.session import scratch_path
 from tillsight.sources.widedata import wide_table
 from tillsight.streaming.batches import batch_by_store, run_batch
+from tillsight.streaming.quarantine import all_batches, quarantine_table, stream_with_quarantine
 from workload.ingest import ARTICLES_SQL, raw_articles
 from workload.registry import query
 
@@ -93,8 +100,120 @@ def _(t):
 
 @query("scan_catalog", _BY_TENDER)
 def _(t):
-    t["tender"].createOrReplaceTempView("tillsight_tender")
-    return _by_tender(readers.read_catalog(t.spark, None, "tillsight_tender"))
+    """A catalog table that is moved from an earlier run, of half the stores, to the last one."""
+    runs = Runs(t.spark, scratch_path(t.spark, "catalog"))
+    database = f"tillsight_{uuid.uuid4().hex[:12]}"
+    tender = t["tender"]
+    try:
+        for rows in (tender.where("RetailStoreID % 2 = 0"), tender):
+            load = runs.start()
+            path = writers.write_snapshot(rows, runs.root, "tender", load, path=runs.folder("tender", load, 1))
+            runs.publish(load, {"tender": [path]}, {"tender": tender.schema})
+            runs.register(database)
+        return _by_tender(readers.read_catalog(t.spark, database, "tender"))
+    finally:  # the query has its files already
+        t.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
+@query(
+    "run_snapshot",
+    "select RetailStoreID, TransactionType, count(*) as n, 1 as loads from {header} group by all",
+)
+def _(t):
+    """All store batches of the last complete run, while the next run has begun to write."""
+    runs = Runs(t.spark, scratch_path(t.spark, "runs"))
+    cols = t["header"].select("RetailStoreID", "SequenceNumber", "TransactionType")
+    for number, kind in enumerate(("earlier", None, "unfinished")):
+        load, rows = runs.start(), cols if kind is None else cols.withColumn("TransactionType", F.lit(kind))
+        paths = [
+            writers.write_snapshot(rows.where(cut), runs.root, "header", load, path=runs.folder("header", load, batch))
+            for batch, cut in enumerate(("RetailStoreID < 4", "RetailStoreID >= 4"))
+        ]
+        if number < 2:
+            runs.publish(load, {"header": paths}, {"header": cols.schema})
+    seen = runs.table("header")
+    return seen.groupBy("RetailStoreID", "TransactionType").agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("loads"))
+
+
+@query(
+    "run_parts",
+    "select cast(k % 40 as bigint) as part, count(*) as n, case when k % 40 < 20 then 2 else 3 end as LoadID from {receipt} group by all",
+)
+def _(t):
+    """Part files consumed once: the first run breaks off after its output, the second reads the
+    same files, the third only what has come since."""
+    runs, source = Runs(t.spark, scratch_path(t.spark, "part-runs")), scratch_path(t.spark, "parts")
+    rows = t["receipt"].select("RetailStoreID", "SequenceNumber", (F.col("k") % 40).alias("part"))
+
+    def arrive(cut: str) -> None:
+        rows.where(cut).repartition("part").write.mode("append").partitionBy("part").parquet(source)
+
+    def run(breaks_off: bool = False) -> int:
+        load, new = runs.start(), unconsumed_parts(runs, source)
+        read = t.spark.read.option("basePath", source).parquet(*[r[0] for r in new.collect()])
+        path = writers.write_snapshot(read, runs.root, "receipt", load, path=runs.folder("receipt", load, 1))
+        if not breaks_off:
+            consumed = runs.folder("consumed_parts", load)
+            new.withColumn("status", F.lit(1)).write.parquet(consumed)
+            runs.publish(load, {"receipt": [path]}, {"receipt": read.schema}, consumed)
+        return load
+
+    arrive("part < 20")
+    run(breaks_off=True)
+    loads = [run()]
+    arrive("part >= 20")
+    loads.append(run())
+    first, second = (runs.table("receipt", x).withColumn("LoadID", F.lit(x)) for x in loads)
+    return first.unionByName(second).groupBy(F.col("part").cast("bigint").alias("part"), "LoadID").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "dictionary_store",
+    "select CardType as text_, count(*) as uses, 1 as ids, 0 as added_by_repetition from {tender} where CardType is not null group by CardType",
+)
+def _(t):
+    """Five batches of stores extend one dictionary at once, and again. Each text has one id; the
+    rows encoded by it are read back through it."""
+    store = DictionaryStore(t.spark, scratch_path(t.spark, "dictionaries"), SEEDS)
+    rows = t["tender"].select("RetailStoreID", "CardType")
+
+    def extend(batch: int) -> None:
+        store.extend("CardType", rows.where(F.col("RetailStoreID") % 5 == batch).select("CardType"))
+
+    versions = []
+    for _ in range(2):
+        with ThreadPoolExecutor(5) as pool:
+            list(pool.map(extend, range(5)))
+        versions.append(store.versions("CardType"))
+    known = store.read("CardType")
+    coded = encode(rows, known, "CardType", "CardType", "CardTypeDesc").groupBy("CardType").agg(F.count(F.lit(1)).alias("uses"))
+    ids = known.groupBy("CardTypeDesc").agg(F.count_distinct("CardType").alias("ids"))
+    decoded = coded.join(known, "CardType").join(ids, "CardTypeDesc")
+    return decoded.select(F.col("CardTypeDesc").alias("text_"), "uses", "ids", F.lit(versions[1] - versions[0]).alias("added_by_repetition"))
+
+
+@query(
+    "stream_quarantine",
+    "select cast(k % 8 as bigint) as part, case when k % 8 = 3 then 0 else count(*) end as published, "
+    "case when k % 8 = 3 then 2 else 0 end as attempts from {receipt} group by k % 8",
+)
+def _(t):
+    """One of eight files fails: it is held after two attempts, the others are published."""
+    root, source, marks = (scratch_path(t.spark, x) for x in ("stream", "arrived", "marks"))
+    rows = t["receipt"].select("RetailStoreID", "SequenceNumber", (F.col("k") % 8).alias("part"))
+    rows.withColumn("file", F.col("part")).repartition("file").write.partitionBy("file").parquet(source)
+
+    def checked(known):
+        broken = F.when(F.col("part") == 3, F.raise_error(F.lit("part 3 is broken")).cast("string"))
+        return known["transactions"].withColumn("state", broken.otherwise("ok"))
+
+    for _ in range(3):
+        stream_with_quarantine(t.spark, source, rows.schema, root, marks, [("checked", checked)], attempts=2).awaitTermination()
+    schema = rows.withColumn("state", F.lit("ok")).schema
+    done = all_batches(t.spark, root, "checked", schema).groupBy("part").agg(F.count(F.lit(1)).alias("published"))
+    held = quarantine_table(t.spark, root).select(F.regexp_extract("file", r"file=(\d+)", 1).cast("bigint").alias("part"), "attempts")
+    both = done.join(held, "part", "full")
+    return both.select("part", F.coalesce("published", F.lit(0)).alias("published"), F.coalesce("attempts", F.lit(0)).alias("attempts"))
 
 
 @query(
