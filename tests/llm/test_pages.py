@@ -164,3 +164,26 @@ def test_damage_is_noticed(spark, tmp_path):
     bad = archive._replace(payloads=archive.payloads.withColumn("payload", F.concat("payload", F.lit(b"!"))))
     with pytest.raises(Exception, match="damaged payload"):
         warc.index(bad).collect()
+
+
+@pytest.mark.parametrize("damage", ["type", "digest", "length", "line", "payload"])
+def test_damaged_headers(spark, tmp_path, damage):
+    """A header block that is not whole, or does not fit the payload, fails the query."""
+    warc.write_archive(pages(spark), f"{tmp_path}/a")
+    archive = warc.read_archive(spark, f"{tmp_path}/a")
+    assert archive.records.columns == ["headers"]  # nothing is kept beside the header blocks
+    old, new = {
+        "type": ("WARC-Type: response", "WARC-Type: revisit"),
+        "digest": ("sha256:[0-9a-f]", "sha256:x"),
+        "length": ("Content-Length: ", "Content-Length: 9"),
+        "line": ("WARC-Date: ", "WARC-Day: "),
+        "payload": ("", ""),
+    }[damage]
+    if damage == "payload":
+        bad = archive._replace(payloads=archive.payloads.limit(1))
+    else:
+        bad = archive._replace(records=archive.records.withColumn("headers", F.regexp_replace("headers", old, new)))
+    for read in (warc.index, warc.reconstructed):
+        with pytest.raises(Exception, match="damaged headers|without its payload"):
+            read(bad).collect()
+    assert warc.index(archive).count() == warc.reconstructed(archive).count() == pages(spark).count()
