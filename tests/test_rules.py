@@ -296,3 +296,39 @@ def test_timing_uses_one_issue_per_slip(make):
     )
     got = empties.timing(uses, issued)
     assert rows(got, "ReceiptNumber", "EmptiesTimingFlag") == [(20, 0), (21, 2)]
+
+
+def test_report_carried_on_equals_the_whole_report(spark):
+    """Runs in order, data that comes late by days or by many weeks, days without transactions."""
+    import datetime
+    import random
+
+    from tillsight.plans import reports
+
+    r = random.Random(8)
+    start = datetime.datetime(2024, 1, 1, 9)
+    types = [*reports.REPORTED_TYPES.values(), "Other"]
+    rows = []
+    for day in range(200):
+        for store in (1, 2, None):
+            run = day // 7 if r.random() < 0.95 else r.choice((min(28, day // 7 + 2), 28))
+            rows += [(store, start + datetime.timedelta(days=day, minutes=i), r.choice(types), run) for i in range(r.randrange(4))]
+    header = spark.createDataFrame(rows, "RetailStoreID bigint, ReceiptDateTime timestamp, TransactionType string, run int").cache()
+    names = [(f"f{i}", r.choice((1, 2)), (start + datetime.timedelta(days=r.randrange(210))).date(), r.randrange(29)) for i in range(150)]
+    files = spark.createDataFrame(names, "xmlfilename string, RetailStoreID bigint, BusinessDate date, run int").cache()
+    past, found = [], {}
+    state = spark.createDataFrame([], reports.INCREMENT)
+    for runs in ([0], [1, 2], list(range(3, 16)), list(range(16, 22)), list(range(22, 28)), [28]):
+        own = [df.where(F.col("run").isin(runs)).drop("run") for df in (header, files)]
+        added = spark.createDataFrame(reports.report_increment(*own).collect(), reports.INCREMENT)
+        past.append(added)
+        history = past[0]
+        for more in past[1:]:
+            history = history.unionByName(more)
+        new, changed = reports.advance_report(state, added, history)
+        found |= {x[:2]: tuple(x) for x in changed.collect()}
+        state = spark.createDataFrame(new.collect(), reports.INCREMENT)
+        assert state.count() <= 2 * 3 * 7 * reports.KEPT_DAYS
+    whole = reports.daily_report(header.drop("run"), files.drop("run"))
+    want = {x[:2]: tuple(x) for x in whole.select(*changed.columns).collect()}
+    assert found == want and len(want) > 300

@@ -8,7 +8,7 @@ the steps before it under their names.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -170,6 +170,35 @@ def published(spark: SparkSession, root: str, table: str, load: int | None = Non
     return Runs(spark, root).table(table, load)
 
 
+def carry_report(runs: Runs, write: Callable[[str, DataFrame], DataFrame], header: DataFrame, files: DataFrame) -> DataFrame:
+    """The daily report carried on from the state that the last run left: writes what this run
+    adds, the state after it, and the rows of the report it changed, which are returned."""
+    spark = runs.spark
+    added = write("report_increment", reports.report_increment(header, files))
+    past = [e["load"] for e in runs.log.entries() if "report_increment" in e["tables"]]
+    history = added
+    for load in past:
+        history = history.unionByName(runs.table("report_increment", load))
+    state = runs.table("report_state") if past else spark.createDataFrame([], reports.INCREMENT)
+    state, rows = reports.advance_report(state, added, history)
+    write("report_state", state)
+    return write("daily_report", rows)
+
+
+def full_report(runs: Runs) -> DataFrame:
+    """The report over all published runs: each row as the last run that changed it wrote it."""
+    loads = [e["load"] for e in runs.log.entries() if "daily_report" in e["tables"]]
+    rows = None
+    for load in loads:
+        part = runs.table("daily_report", load).withColumn("_load", F.lit(load))
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        raise FileNotFoundError(f"{runs.root} has no report")
+    key = ["RetailStoreID", "BusinessDay"]
+    value = F.max_by(F.struct(*[c for c in rows.columns if c not in (*key, "_load")]), "_load").alias("row")
+    return rows.groupBy(*key).agg(value).select(*key, "row.*")
+
+
 def daily_run(
     tables: Mapping[str, DataFrame],
     root: str,
@@ -251,7 +280,7 @@ def daily_run(
     write("file_register", files)
     load_status = write("load_status", control.merge_load_status(expected, store_log, before))
     done = spark.createDataFrame([(s,) for s, ok in ends if ok], "RetailStoreID bigint")
-    report = write("daily_report", reports.daily_report(stored["header"].join(done, "RetailStoreID", "left_semi"), files))
+    report = carry_report(runs, write, stored["header"].join(done, "RetailStoreID", "left_semi"), files)
 
     consumed = None
     if parts is not None:

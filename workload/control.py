@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillsight.plans import control, daily, reports
+from tillsight.sources import writers
+from tillsight.sources.runs import Runs
 from tillsight.sources.session import scratch_path
 from workload import publish, rules  # noqa: F401 - their queries state the rows of published tables
 from workload.registry import ENTRIES, query
@@ -141,6 +143,29 @@ def _(t):
     return reports.daily_report(t["header"], files(t))
 
 
+@query("daily_report_state", ENTRIES["daily_report"].sql)
+def _(t):
+    """The report carried on over four runs: three weeks in order, then what came late. Each run
+    reads the state the one before left, not the transactions before it."""
+    runs = Runs(t.spark, scratch_path(t.spark, "report"))
+    header = t["header"].select("RetailStoreID", "ReceiptDateTime", "TransactionType")
+    every = files(t)
+    late = F.crc32(F.col("TransactionType")) % 2 == 0
+    week = lambda day: F.floor(F.datediff(day, F.lit("2024-01-01")) / 10)
+    for part in range(4):
+        own = ((week(F.to_date("ReceiptDateTime")) == part) & ~late) if part < 3 else late | ~week(F.to_date("ReceiptDateTime")).isin(0, 1, 2)
+        came = week(F.col("BusinessDate")) == part if part < 3 else ~week(F.col("BusinessDate")).isin(0, 1, 2)
+        load, paths, schemas = runs.start(), {}, {}
+
+        def write(name, df, load=load, paths=paths, schemas=schemas):
+            paths[name], schemas[name] = [writers.write_table(df, runs.root, f"{name}/run={load}")], df.schema
+            return t.spark.read.schema(df.schema).parquet(*paths[name])
+
+        daily.carry_report(runs, write, header.where(own), every.where(came))
+        runs.publish(load, paths, schemas)
+    return daily.full_report(runs)
+
+
 @query(
     "day_summary",
     f"select cast(ReceiptDateTime as date) as BusinessDay, count(case when TransactionType = 'RetailTransaction' then 1 end) as retail_transactions, "
@@ -286,8 +311,6 @@ _DAYS = f"(select distinct h.RetailStoreID, batch, cast(ReceiptDateTime as date)
 )
 def _(t):
     """Logs, events, file register and consumed part files of the run, as they are written."""
-    from tillsight.sources.runs import Runs
-
     root, run = finished_run(t)
     runs = Runs(t.spark, root)
     none = F.lit(None).cast("bigint")
