@@ -75,6 +75,22 @@ def content_order(row: Column) -> Column:
     return F.md5(F.to_json(row, {"ignoreNullFields": "false"}))
 
 
+#: a key with more than this part of the rows is joined without being dealt; there are fewer such keys
+HOT = 1000
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined by ``key``, a number, to ``table``, which has one row for each key. Keys that
+    have more than a thousandth of all rows, of which there are fewer than a thousand, meet
+    their row of ``table`` by broadcast, so their rows stay where they are; the others are dealt
+    by the key. ``rows`` is read three times and should be in store."""
+    total = rows.count()
+    sizes = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") * HOT > total)
+    hot = F.col(key).isin([r[0] for r in sizes.select(key).collect()])
+    here = rows.where(hot).join(F.broadcast(table.where(hot)), key)
+    return here.unionByName(rows.where(~hot).join(table.where(~hot), key))
+
+
 def spread(df: DataFrame, column: str) -> DataFrame:
     """``df`` dealt by ``column`` to as many partitions as the session shuffles to, which
     adaptive execution leaves as they are: for few rows that are about to become many."""

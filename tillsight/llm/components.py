@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import stored
+from tillsight.llm.common import hot_join, stored
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -15,13 +15,13 @@ def _checksum(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return hot_join(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = hot_join(down, least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -30,16 +30,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round is one large and one small star and is written to the shared folder, so
     lineage stays short; the number of rounds grows with the logarithm of the longest path.
-    Only a count and a checksum reach the driver. A node with many neighbours is handled by
-    a partial minimum and a join whose large side adaptive execution may split. Loops and
-    repeated edges are allowed; an empty input gives an empty result.
+    Counts, a checksum and the nodes with more than a thousandth of all neighbours
+    reach the driver. Such a node has its minimum from partial ones and its neighbours get
+    it by broadcast, so they are not brought together. Loops and repeated edges are allowed;
+    an empty input gives an empty result.
     """
     current = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
     before = _checksum(current)
     while before[0]:
-        current = stored(_small_star(_large_star(current)), "edges")
+        current = stored(_small_star(stored(_large_star(current), "stars")), "edges")
         after = _checksum(current)
         if after == before:
             break

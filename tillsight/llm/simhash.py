@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from tillsight.llm.common import content_order, quoted, row_key, spread, stored, whole_row
+from tillsight.llm.common import content_order, hot_join, quoted, row_key, spread, stored, whole_row
 from tillsight.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -153,8 +153,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = stored(docs.select(quoted(id_col).alias("id"), simhash(quoted(text_col)).alias("fp")), "fingerprints")
     rooted = _rooted(prints, F.min("id"), block)
     least = rooted.groupBy("root").agg(F.min("best").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    named = stored(hot_join(rooted, least, "root").select("fp", "component_id"), "named")
+    return hot_join(prints, named, "fp").select(F.col("id").alias(id_col), "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
