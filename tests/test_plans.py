@@ -38,6 +38,25 @@ def test_lines_move_once_through_all_line_joins(spark, sf_dir, no_broadcast):
     assert sum("Exchange" in x for x in spine) == 1, list(zip(indent, spine))
 
 
+def test_bucketed_lines_are_not_moved(spark, sf_dir, no_broadcast, tmp_path):
+    """Joins and reductions of the line tables need no exchange; only sums by receipt move."""
+    from tillsight.sources.bucketed import bucketed_lines
+
+    t = with_stages(TestTables(spark, sf_dir), "lineitemderived")
+    tables = {n: t[n] for n in ("lineitemderived", "sale", "return", "loyalty", "modifier", "addon")}
+    try:
+        b = bucketed_lines(spark, tables, "till_buckets", str(tmp_path), 5)
+        lines = classify.line_summary(b["lineitemderived"], b["sale"], b["return"], b["loyalty"], b["addon"], b["modifier"], b["items"])
+        text = plan(lines)
+        assert text.count("till_buckets.") == 5 and text.count("SortMergeJoin") == 4
+        assert "Exchange" not in text[text.index("SortMergeJoin"):]
+        assert len(re.findall(r"Exchange hashpartitioning\(RetailStoreID#\d+L?, WorkstationID#\d+L?, SequenceNumber", text)) == text.count("Exchange ") == 2
+        plain = classify.line_summary(*[t[n] for n in ("lineitemderived", "sale", "return", "loyalty", "addon", "modifier")])
+        assert sorted(map(str, lines.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS till_buckets CASCADE")
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     t = TestTables(spark, sf_dir)
     text = plan(t["sale"].select("RetailStoreID", "ExtendedAmount"))

@@ -77,13 +77,17 @@ ITEM_FACTS = [
 ]
 
 
+def item_facts(sale: DataFrame, returns: DataFrame) -> DataFrame:
+    """Facts of sale and return positions in one table, told apart by ``Side``."""
+    return sale.select(*LINE, *ITEM_FACTS, F.lit("sale").alias("Side")).unionByName(
+        returns.select(*LINE, *ITEM_FACTS, F.lit("return").alias("Side"))
+    )
+
+
 def with_items(lineitemderived: DataFrame, sale: DataFrame, returns: DataFrame) -> DataFrame:
     """Lines with the facts of their sale or return position and its ``Side``. A position
     is one or the other, so both tables are joined in one go."""
-    facts = sale.select(*LINE, *ITEM_FACTS, F.lit("sale").alias("Side")).unionByName(
-        returns.select(*LINE, *ITEM_FACTS, F.lit("return").alias("Side"))
-    )
-    return lineitemderived.join(facts, LINE, "left")
+    return lineitemderived.join(item_facts(sale, returns), LINE, "left")
 
 
 def _product_group() -> Column:
@@ -139,16 +143,22 @@ def line_summary(
     loyalty: DataFrame,
     addons: DataFrame,
     modifiers: DataFrame,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Everything the receipt flags need to know about the lines, one row per receipt.
 
     Children are reduced to one row per line before they are joined, so nothing is
-    counted twice and the joined rows never outnumber the lines.
+    counted twice and the joined rows never outnumber the lines. Give ``items``, the item
+    facts of both sides, where all line tables lie in equal buckets by ``LINE_SPREAD``: then
+    none of them is moved.
     """
+    if items is None:
+        lines = with_items(lineitemderived.repartition(*LINE_SPREAD), sale, returns)
+    else:
+        lines = lineitemderived.join(items, LINE, "left")
     rewarded = loyalty.where(F.col("PointsAwarded").isNotNull())
     lines = (
-        with_items(lineitemderived.repartition(*LINE_SPREAD), sale, returns)
-        .join(present(rewarded, LINE, "rewarded"), LINE, "left")
+        lines.join(present(rewarded, LINE, "rewarded"), LINE, "left")
         .join(net_modifiers(modifiers), LINE_BY_NUMBER, "left")
         .join(present(slip_addons(addons), LINE_BY_NUMBER, "has_slip"), LINE_BY_NUMBER, "left")
     )
@@ -212,6 +222,7 @@ def receipt_flags(
     addons: DataFrame,
     modifiers: DataFrame,
     stores: DataFrame,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """The flags behind the retail classes, one row per transaction."""
     is_post_void = (F.col("TransactionLinkReasonCode") == "Voided") & (
@@ -242,7 +253,7 @@ def receipt_flags(
     facts = (
         header_rows(header)
         .join(totals, RECEIPT, "left")
-        .join(line_summary(lineitemderived, sale, returns, loyalty, addons, modifiers), RECEIPT, "left")
+        .join(line_summary(lineitemderived, sale, returns, loyalty, addons, modifiers, items), RECEIPT, "left")
         .join(change, RECEIPT, "left")
         .join(present(links, RECEIPT, "voided_later"), RECEIPT, "left")
         .join(store_type, "RetailStoreID", "left")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tillsight.plans import classify, daily, empties, followup, masterdata, pricelookup, receiptvoid, void
+from tillsight.sources.bucketed import bucketed_lines
+from tillsight.sources.session import scratch_path
 from workload.registry import query
 from workload.stages import stage, with_stages
 
@@ -55,6 +59,29 @@ def _(t):
     return _flags(t)
 
 
+def bucketed(t, database):
+    """Line tables stored by bucket."""
+    with_stages(t, "lineitemderived")
+    tables = {n: t[n] for n in ("lineitemderived", "sale", "return", "loyalty", "modifier", "addon")}
+    buckets = max(8, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    return bucketed_lines(t.spark, tables, database, scratch_path(t.spark, "buckets"), buckets)
+
+
+@query("receipt_flags_bucketed", "select * from {flags}")
+def _(t):
+    """The flags from line tables that lie in buckets: no table of lines is moved."""
+    database = f"tillsight_{uuid.uuid4().hex[:12]}"
+    b = bucketed(t, database)
+    try:
+        out = classify.receipt_flags(
+            t["header"], t["retailheader"], b["lineitemderived"], b["sale"], b["return"], t["tender"], b["loyalty"],
+            b["addon"], b["modifier"], t["stores"], b["items"],
+        )
+        return out
+    finally:  # the plan has its files and buckets already
+        t.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 @query("classify_retail", "select * from {class_retail}")
 def _(t):
     t["header"] = t["header"].where("TransactionType = 'RetailTransaction'")
