@@ -245,6 +245,51 @@ def test_mixture(docs):
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
 
+@pytest.mark.parametrize("edge_rows", [0, 5])
+def test_mixture_cuts_the_edge_again(docs, monkeypatch, edge_rows):
+    """However often the range with the cut is cut again, the same words are taken."""
+    want = Counter(map(tuple, mixing.mixture(docs).collect()))
+    monkeypatch.setattr(mixing.cuts, "__defaults__", (*mixing.cuts.__defaults__[:-1], edge_rows))
+    assert Counter(map(tuple, mixing.mixture(docs).collect())) == want
+
+
+def test_mixture_of_one_range(spark, monkeypatch):
+    """Texts of digits have tiny weights and so keys in the last range of a first cut, and rows
+    without an id have one key: the ranges are cut until few rows are left to sort."""
+    rows = [(i if i % 3 else None, f"{i} " * 3 + "9" * 300, "en", "digits", 0) for i in range(2000)]
+    rows += [(5000 + i, "some words here", "en", "other", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, edge.SCHEMA)
+    want = Counter(map(tuple, mixing.mixture(docs, share=0.5).collect()))
+    monkeypatch.setattr(mixing.cuts, "__defaults__", (*mixing.cuts.__defaults__[:-1], 20))
+    sizes = []
+    real = mixing.stored
+
+    def seen(df, name):
+        out = real(df, name)
+        if name == "edge":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(mixing, "stored", seen)
+    got = mixing.mixture(docs, share=0.5).collect()
+    assert Counter(map(tuple, got)) == want
+    assert 0 < len(sizes) < 16 and sizes[-1] < 500
+    for source, n in (("digits", 2000), ("other", 200)):
+        own = [r for r in got if (r["size"] == 4) == (source == "digits")]
+        assert len(own) == n and abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 4
+
+
+def test_hot_join(spark):
+    """A key with most rows is joined where its rows are; the result is that of a plain join."""
+    from tillsight.llm.common import hot_join
+
+    rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-7)).alias("k"), "id").repartition(4)
+    table = spark.range(-10, 4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = hot_join(rows, table, "k")
+    assert Counter(map(tuple, got.select("k", "id", "v").collect())) == Counter(map(tuple, rows.join(table, "k").select("k", "id", "v").collect()))
+    assert hot_join(rows.limit(0), table, "k").count() == 0
+
+
 def test_mixture_order(spark):
     """The fraction taken is the start of the keys' order, and higher weights come first more often."""
     rows = [(i, "w " * 10, "en", "a" if i < 3000 else "b", 0) for i in range(3600)]

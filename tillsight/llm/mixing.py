@@ -6,8 +6,10 @@ replacement of any size. Whole epochs of a source come first, then the documents
 least keys until the source's word budget is met.
 
 No source is sorted as a whole. Keys fall into ``BUCKETS`` ranges; word sums per source and
-range show in which range the budget ends, and only that range's rows are sorted. The outcome
-is one cut (key, tie) a source, against which every row is compared where it lies.
+range show in which range the budget ends. While that range has more than ``EDGE`` rows of a
+source it is cut into as many again, at first by key and then by the hash of the text, which
+decides between equal keys; only the rows of the last range are sorted. The outcome is one cut
+(key, tie) a source, against which every row is compared where it lies.
 """
 
 from __future__ import annotations
@@ -18,7 +20,10 @@ from pyspark.sql import functions as F
 from tillsight.llm.common import SPACE, quoted, stored, whole_row
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
-BUCKETS = 4096
+#: ranges of a cut, hexadecimal digits that number them, and rows of a source that a task sorts
+BUCKETS, DIGITS, EDGE = 4096, 3, 100_000
+#: cuts by key, which use up its bits, and by the 32 digits of the tie
+KEY_CUTS, TIE_CUTS = 6, 10
 SEED = "mix"
 
 
@@ -72,22 +77,43 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return rows.select("src", "none", "source_size", target.alias("target"))
 
 
-def cuts(light: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, buckets: int = BUCKETS) -> DataFrame:
+def _range(level: int) -> Column:
+    """Number of a row's range in the cut ``level``. Ranges are in the order of (key, tie): the
+    digits to the base ``BUCKETS`` of key / (1 + key), one a cut, then those of the tie."""
+    if level >= KEY_CUTS:
+        return F.conv(F.substring("tie", DIGITS * (level - KEY_CUTS) + 1, DIGITS), 16, 10).cast("bigint")
+    part = F.col("key") / (1 + F.col("key"))
+    for _ in range(level):  # exact: a power of two, and a difference of near numbers
+        part = part * BUCKETS - F.floor(part * BUCKETS)
+    return F.floor(part * BUCKETS)
+
+
+def cuts(light: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, edge_rows: int = EDGE) -> DataFrame:
     """Per source: (src, none, source_size, target, epochs, cut_key, cut_tie, each). Rows below
     the cut are taken once more, rows at the cut ``each`` words of them; no cut: none is."""
     names = ["src", "none"]
-    light = light.withColumn("bucket", F.floor(buckets * (1 - F.exp(-F.col("key")))))
-    sums = stored(light.groupBy(*names, "bucket").agg(F.sum("size").alias("words")), "sums")
-    goal = targets(sums.groupBy(names).agg(F.sum("words").alias("source_size")), weights, share, most)
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0).cast("bigint"))
-    goal = goal.withColumn("epochs", epochs)
-    goal = stored(goal.withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size")), "targets")
-    upto = F.sum("words").over(Window.partitionBy(names).orderBy("bucket")).alias("upto")
-    # both tables have a row or a few thousand rows for each source, not for each document
-    edge = sums.select(*names, "bucket", "words", upto).join(goal.select(*names, "rest"), names)
-    edge = edge.where("upto >= rest and upto - words < rest and rest > 0").select(*names, "bucket", "rest", (F.col("upto") - F.col("words")).alias("before"))
-    near = light.join(edge, [*names, "bucket"]).groupBy(*names, "rest", "before", "key", "tie")
-    near = near.agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
+    upto = F.sum("words").over(Window.partitionBy(names).orderBy("bucket"))
+    rows, goal, budget = light, None, None
+    last = KEY_CUTS + TIE_CUTS - 1
+    for level in range(last + 1):
+        rows = rows.withColumn("bucket", _range(level))
+        sums = stored(rows.groupBy(*names, "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("n")), "sums")
+        if goal is None:
+            goal = targets(sums.groupBy(names).agg(F.sum("words").alias("source_size")), weights, share, most)
+            epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0).cast("bigint"))
+            goal = goal.withColumn("epochs", epochs)
+            goal = stored(goal.withColumn("rest", F.floor("target") - F.col("epochs") * F.col("source_size")), "targets")
+            budget = goal.select(*names, "rest", F.lit(0).cast("bigint").alias("before"))
+        # a row or a few thousand rows for each source, not for each document
+        found = sums.select(*names, "bucket", "words", "n", upto.alias("upto")).join(budget, names)
+        found = found.where("before + upto >= rest and before + upto - words < rest and rest > 0")
+        budget = stored(found.select(*names, "bucket", "rest", (F.col("before") + F.col("upto") - F.col("words")).alias("before"), "n"), "edges")
+        rows = rows.join(budget.select(*names, "bucket", "rest", "before"), [*names, "bucket"])
+        if level == last or (budget.agg(F.max("n")).first()[0] or 0) <= edge_rows:
+            break
+        rows = stored(rows.drop("bucket", "rest", "before"), "edge")
+        budget = budget.drop("bucket", "n")
+    near = rows.groupBy(*names, "rest", "before", "key", "tie").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
     upto = F.col("before") + F.sum("words").over(Window.partitionBy(names).orderBy("key", "tie"))
     cut = near.withColumn("upto", upto).where("upto >= rest and upto - words < rest")
     cut = cut.select(*names, F.col("key").alias("cut_key"), F.col("tie").alias("cut_tie"), F.floor((F.col("rest") - F.col("upto") + F.col("words")) / F.col("rows")).alias("each"))
