@@ -139,3 +139,33 @@ def test_every_language_is_learned(spark):
     assert net.languages == [f"l{n:03}" for n in range(300)]
     seen = {r["lang_pred"] for r in langid.identified(docs, net).select("lang_pred").collect()}
     assert len(seen) > 256
+
+
+def test_quality_query_by_hand(spark, docs):
+    """Every score of the query is that of the rules, evaluated in Python over the whole text."""
+    model = quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    texts = dict(docs.select("doc_id", "text").collect())
+    x = np.array([quality.statistics(None if t is None else t.encode()) for t in texts.values()])
+    p = 1 / (1 + np.exp(-(model.constant + sum(w * rule.holds(x) for w, rule in model.weights))))
+    want = dict(zip(texts, p, strict=True))
+    for r in QUERIES["op8_quality"](spark, SF).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-6)
+        assert r["predicted"] == (r["score"] >= 0.5) and r["held_out"] == held(r["doc_id"], 3, 1)
+
+
+def test_language_query_by_hand(spark, docs):
+    """Every prediction of the query: windows weighed by the bytes of the text in them."""
+    net = langid.train(docs)
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in QUERIES["op10_language"](spark, SF).collect():
+        text = texts[r["doc_id"]]
+        assert r["held_out"] == held(r["doc_id"], 4, 2)
+        if text is None or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        data = text.encode()
+        parts = [data[i : i + langid.LENGTH] for i in range(0, len(data), langid.LENGTH)]
+        each = langid.probabilities(net, np.array([list(part.ljust(langid.LENGTH, b"\0")) for part in parts], np.uint8))
+        weighed = sum(len(part) * row for part, row in zip(parts, each.astype(float), strict=True)) / len(data)
+        assert r["score"] == pytest.approx(weighed.max(), abs=1e-5)
+        assert weighed[net.languages.index(r["lang_pred"])] == pytest.approx(weighed.max(), abs=1e-5)
