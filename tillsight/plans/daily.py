@@ -91,7 +91,7 @@ PUBLISH_STEPS = [
     (
         "published_retailheader",
         lambda t: publish.publish_retailheader(
-            t["retailheader"], t["lineitemderived"], t["sale"], t["return"], t["modifier"], t["customer"]
+            t["retailheader"], t["lineitemderived"], t["sale"], t["return"], t["rebate"], t["customer"]
         ),
     ),
 ]

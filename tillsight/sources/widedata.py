@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.plans.ingest import (
+    BUILDERS,
     CUSTOMER_ADDRESS,
     KEYS,
     SPECS,
@@ -89,29 +90,20 @@ def _entries(count: str) -> str:
     return f"case when {count} = 0 then cast(array() as array<bigint>) else sequence(cast(1 as bigint), {count}) end"
 
 
-def wide_table(t: TestTables, name: str) -> DataFrame:
-    """Wide rows with the columns builder ``name`` needs, all leaves as text."""
-    receipts = t["receipt"]
-    if name in LINE_TABLES:
-        lines = t["position"].groupBy("k").agg(F.sort_array(F.collect_list("n")).alias("ns"))
-        receipts = receipts.join(lines, "k", "left")
-    else:
-        receipts = receipts.selectExpr("*", _entries("k % 3") + " as ns")
-    # building nested text costs far more than moving the receipts
-    spread = max(t.spark.sparkContext.defaultParallelism, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
-    receipts = receipts.repartition(spread, "k")
-    key_text = {f.path: f"cast({f.name} as string)" for f in KEYS}
-    out = {**key_text, **{p: f"cast({e} as string)" for p, e in KIND.items()}}
+def _columns(name: str, entries: str) -> dict[str, str]:
+    """Wide columns builder ``name`` needs, all leaves as text, and their values; ``entries`` is
+    the column with the numbers of a receipt's array entries."""
+    out: dict[str, str] = {}
     for spec, side in parts(name):
         for f in spec.scalars:
             out.setdefault(f.path, f"cast({leaf(f.name, f.type, name, side)} as string)")
         for f in spec.arrays:
             value = leaf(f.name, f.type, name, side, 1)
-            out.setdefault(f.path, f"transform(ns, n -> cast({value} as string))")
+            out.setdefault(f.path, f"transform({entries}, n -> cast({value} as string))")
         for f in spec.nested:
             value = leaf(f.name, f.type, name, side, 2)
             inner = f"transform({_entries('(k + n) % 3')}, m -> cast({value} as string))"
-            out.setdefault(f.path, f"transform(ns, n -> {inner})")
+            out.setdefault(f.path, f"transform({entries}, n -> {inner})")
     if name == "customer":
         out[CUSTOMER_ADDRESS] = f"transform({_entries('k % 4')}, a -> 'street ' || cast((k + a) % 5 as string))"
     if name == "retailtransactionheader":
@@ -121,9 +113,34 @@ def wide_table(t: TestTables, name: str) -> DataFrame:
             "case when k % 7 = 0 then 'TransactionGrandAmount' else 'c' end)"
         )
         out[TOTAL_VALUES] = "transform(array(1, 2, 3, 4), i -> cast((k % 100) * i * 5e-1 as string))"
+    return out
+
+
+def _wide(t: TestTables, names: tuple[str, ...]) -> DataFrame:
+    receipts = t["receipt"]
+    if any(n in LINE_TABLES for n in names):
+        lines = t["position"].groupBy("k").agg(F.sort_array(F.collect_list("n")).alias("ns"))
+        receipts = receipts.join(lines, "k", "left")
+    receipts = receipts.selectExpr("*", _entries("k % 3") + " as ks")
+    # building nested text costs far more than moving the receipts
+    spread = max(t.spark.sparkContext.defaultParallelism, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    receipts = receipts.repartition(spread, "k")
+    out = {f.path: f"cast({f.name} as string)" for f in KEYS} | {p: f"cast({e} as string)" for p, e in KIND.items()}
+    for name in names:
+        out = _columns(name, "ns" if name in LINE_TABLES else "ks") | out
     return receipts.selectExpr(*[f"{for_spark(e)} as `{p}`" for p, e in out.items()])
 
 
+def wide_table(t: TestTables, name: str) -> DataFrame:
+    """Wide rows with the columns builder ``name`` needs, all leaves as text."""
+    return _wide(t, (name,))
+
+
+def wide_transactions(t: TestTables) -> DataFrame:
+    """Wide rows with the columns of all builders."""
+    return _wide(t, tuple(BUILDERS))
+
+
 def stored_wide_table(t: TestTables, name: str) -> DataFrame:
     """The wide rows as a source file, written once per session and directory."""
     return t.keep(f"wide_{name}", lambda: wide_table(t, name))

@@ -8,7 +8,9 @@ from tillsight.plans import control, daily, reports
 from tillsight.sources import writers
 from tillsight.sources.runs import Runs
 from tillsight.sources.session import scratch_path
+from tillsight.sources.widedata import wide_transactions
 from workload import publish, rules  # noqa: F401 - their queries state the rows of published tables
+from workload.ingest import KEYS
 from workload.registry import ENTRIES, query
 from workload.rules import class_texts
 from workload.stages import stage
@@ -216,7 +218,8 @@ def finished_run(t) -> tuple[str, daily.DailyRun]:
         )
 
     root = scratch_path(t.spark, "daily")
-    tables = {n: t[n] for n in TYPED} | {"class_texts": class_texts(t)}
+    # the modifiers of the benchmark model carry the rebate rules as well
+    tables = {n: t[n] for n in TYPED} | {"class_texts": class_texts(t), "rebate": t["modifier"]}
     steps = [*daily.RULE_STEPS, *daily.PUBLISH_STEPS, ("published_check", check)]
     parts = t["receipt"].select(F.concat(F.lit("part-"), (F.col("k") % 50).cast("string")).alias("part_filename"))
     run = daily.daily_run(
@@ -327,3 +330,35 @@ def _(t):
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
+
+
+
+def _ingested_sql() -> str:
+    """Rows of each typed table by store, as the queries of its builders state them, and of the
+    tenders that are published from there."""
+    built = {f"typed_{name}": ENTRIES[KEYS[builder]].sql for name, builder in daily.INGESTED.items()}
+    built["published_tender"] = built["typed_tender"]
+    return " union all ".join(
+        f"select '{name}' as table_name, RetailStoreID, count(*) as n from ({sql}) x group by RetailStoreID" for name, sql in built.items()
+    )
+
+
+@query("daily_run_ingested", _ingested_sql())
+def _(t):
+    """A run that starts from wide transactions: typed tables, voids and classes, and what is
+    published with dictionaries."""
+    wide = t.keep("wide_transactions", lambda: wide_transactions(t))
+    lookups = {n: t[n] for n in ("stores", "articles", "hierarchy")}
+    root = scratch_path(t.spark, "ingested")
+    steps = [s for s in daily.RULE_STEPS if s[0] in ("lineitemderived", "classification")]
+    run = daily.daily_run(daily.ingest(wide) | lookups, root, RUN_DATE, STARTED, ENDED, history(t), files(t), 10, steps)
+    if not all(s.ok for s in run.statuses):
+        raise RuntimeError(run.statuses)
+    runs = Runs(t.spark, root)
+    parts = {f"typed_{n}": t.spark.read.parquet(runs.folder(f"typed_{n}", run.load)) for n in daily.INGESTED}
+    parts["published_tender"] = runs.table("published_tender")
+    out = None
+    for name, df in parts.items():
+        part = df.groupBy(F.col("RetailStoreID").cast("bigint").alias("RetailStoreID")).agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
