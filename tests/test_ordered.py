@@ -11,7 +11,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tillsight.operators.ordered import as_of, global_row_number, min_after, next_row, running_position, time_bucket
+from tillsight.operators.ordered import (
+    as_of,
+    balanced_bucket,
+    equal_depth,
+    global_row_number,
+    min_after,
+    next_row,
+    running_position,
+    time_bucket,
+)
 
 START = datetime(2024, 1, 1)
 
@@ -122,3 +131,79 @@ def test_min_after_equals_brute_force(spark, df):
     ]
     order = lambda r: tuple((v is not None, str(v)) for v in r)
     assert rows(got, "id", "least") == sorted(want, key=order)
+
+
+def crowded(seed: int, n: int):
+    """One key has 90 % of all rows in one minute, half of them at one and the same time; nulls too."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        if i % 10 == 0:
+            at = None if i % 100 == 0 else START + timedelta(seconds=rng.randrange(0, 90000))
+            out.append((None if i % 50 == 0 else rng.randrange(1, 8), at, i))
+        else:
+            out.append((0, START + timedelta(seconds=30, microseconds=rng.randrange(10**6) if i % 2 else 0), i))
+    return out
+
+
+@pytest.fixture(scope="module")
+def crowd(spark):
+    return spark.createDataFrame(crowded(4, 3000), "key int, at timestamp, id int").cache()
+
+
+def test_ranges_have_equal_depth(crowd):
+    """90 % of the rows in one minute of one key: no range has twice the median."""
+    bucket = equal_depth(crowd, ["at", "id"], 16)
+    sizes = sorted(r["n"] for r in crowd.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect())
+    assert len(sizes) >= 14 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    ordered = crowd.select("at", "id", bucket.alias("b")).orderBy("at", "id").collect()
+    assert [r["b"] for r in ordered] == sorted(r["b"] for r in ordered)
+
+
+def test_buckets_are_hours_unless_crowded(crowd):
+    hours = crowd.select(balanced_bucket(crowd, ["key"], ["at", "id"]).alias("b")).distinct().count()
+    assert hours == crowd.select(time_bucket("at")).distinct().count()
+    cut = crowd.select(balanced_bucket(crowd, ["key"], ["at", "id"], depth=100).alias("b"))
+    assert cut.groupBy("b").count().agg(F.max("count")).first()[0] < 300
+    assert crowd.limit(0).select(balanced_bucket(crowd.limit(0), ["key"], ["at"])).count() == 0
+    assert crowd.limit(0).select(equal_depth(crowd.limit(0), ["at"])).count() == 0
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_positions_by_depth(crowd, dense):
+    order = ["at"] if dense else ["at", "id"]
+    bucket = balanced_bucket(crowd, ["key"], order, depth=100)
+    got = running_position(crowd, ["key"], order, bucket, "pos", dense)
+    w = Window.partitionBy("key").orderBy(*order)
+    want = crowd.withColumn("pos", (F.dense_rank() if dense else F.row_number()).over(w))
+    assert rows(got, "id", "pos") == rows(want, "id", "pos")
+
+
+def test_next_row_by_depth(crowd):
+    bucket = balanced_bucket(crowd, ["key"], ["at", "id"], depth=100)
+    got = next_row(crowd, ["key"], ["at", "id"], bucket, ["id"], "next")
+    want = crowd.withColumn("n", F.lead("id").over(Window.partitionBy("key").orderBy("at", "id")))
+    assert rows(got.select("id", F.col("next")["id"].alias("n"))) == rows(want, "id", "n")
+
+
+@pytest.mark.parametrize("direction", ["next", "prev"])
+def test_as_of_by_depth(spark, crowd, direction):
+    right_rows = crowded(5, 600)
+    right = spark.createDataFrame(right_rows, "key int, seen timestamp, code int")
+    got = as_of(crowd, right, ["key"], "at", "seen", ["code"], direction, depth=100)
+    want = as_of(crowd, right, ["key"], "at", "seen", ["code"], direction)
+    assert rows(got, "id", "seen", "code") == rows(want, "id", "seen", "code")
+    ids = {}
+    for key, at, i in crowded(4, 3000):
+        if at is None or key is None:
+            continue
+        ok = [(s, c) for k, s, c in right_rows if k == key and s and (s > at if direction == "next" else s < at)]
+        ids[i] = (min if direction == "next" else max)(ok, default=(None, None))
+    assert all((r["seen"], r["code"]) == ids.get(r["id"], (None, None)) for r in got.collect())
+
+
+def test_min_after_by_depth(spark, crowd):
+    right = spark.createDataFrame(crowded(6, 600), "key int, seen timestamp, code int")
+    got = min_after(crowd, right, ["key"], "at", "seen", "code", "least", depth=100)
+    want = min_after(crowd, right, ["key"], "at", "seen", "code", "least")
+    assert rows(got, "id", "least") == rows(want, "id", "least")

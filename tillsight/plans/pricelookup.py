@@ -10,7 +10,7 @@ from tillsight.functions.rules import Rule, first_match
 from tillsight.functions.scalars import business_day
 from tillsight.operators.dedup import dedup_by_key
 from tillsight.operators.joins import pivot_values
-from tillsight.operators.ordered import as_of, min_after
+from tillsight.operators.ordered import DEPTH, as_of, min_after
 from tillsight.plans.classify import LOOKUP, LOOKUP_FUNCTION_ID
 
 LANE = ["RetailStoreID", "WorkstationID"]
@@ -56,7 +56,7 @@ def attach_receipts(events: DataFrame, retailheader: DataFrame) -> DataFrame:
     )
     found = as_of(
         outside.withColumn("_day", day), receipts, [*LANE, "_day"],
-        "ReceiptDateTime", "ReceiptDateTimeAT", ["SequenceNumber"], "next",
+        "ReceiptDateTime", "ReceiptDateTimeAT", ["SequenceNumber"], "next", depth=DEPTH,
     ).select(*ATTACHED)
     # the inside rows are distinct per event and receipt, the outside rows per lane time
     return inside.distinct().unionByName(found)

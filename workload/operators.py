@@ -11,7 +11,7 @@ from tillsight.functions.keys import LINE, LINE_BY_NUMBER, RECEIPT
 from tillsight.functions.rules import Rule, first_match
 from tillsight.operators.dedup import first_per_key, top_per_key
 from tillsight.operators.joins import anti_by_null, linked_lines, lookup_chain, pivot_values, with_presence
-from tillsight.operators.ordered import as_of, global_row_number, next_row, running_position, time_bucket
+from tillsight.operators.ordered import as_of, balanced_bucket, global_row_number, next_row, running_position, time_bucket
 from tillsight.plans import control, reports
 from tillsight.plans.pricelookup import article_by_code
 from tillsight.plans.receiptvoid import CARD_TENDERS, void_kind
@@ -456,7 +456,7 @@ def _(t):
     rows = t["receipt"].select(*KEYS, "EmployeeID", "Date", "ReceiptDateTime")
     return running_position(
         rows, ["RetailStoreID", "EmployeeID", "Date"], ["ReceiptDateTime", "SequenceNumber"],
-        time_bucket("ReceiptDateTime"), "row_id",
+        balanced_bucket(rows, ["RetailStoreID", "EmployeeID"], ["ReceiptDateTime", "SequenceNumber"]), "row_id",
     ).drop("Date", "ReceiptDateTime")
 
 
@@ -466,9 +466,9 @@ def _(t):
 )
 def _(t):
     rows = t["lineitem"].select(*LINE, F.to_date("ReceiptDateTime").alias("day"))
+    bucket = balanced_bucket(rows, ["RetailStoreID", "WorkstationID"], ["ReceiptDateTime"])
     return running_position(
-        rows, ["RetailStoreID", "WorkstationID", "day"], ["ReceiptDateTime"], time_bucket("ReceiptDateTime"),
-        "row_id", dense=True,
+        rows, ["RetailStoreID", "WorkstationID", "day"], ["ReceiptDateTime"], bucket, "row_id", dense=True
     ).drop("day")
 
 
@@ -477,10 +477,9 @@ def _(t):
     "select $L5, row_number() over (partition by RetailStoreID, WorkstationID order by ReceiptDateTime, SequenceNumber, LineItemSequenceNumber) as row_id from {lineitem}",
 )
 def _(t):
-    return running_position(
-        t["lineitem"].select(*LINE), ["RetailStoreID", "WorkstationID"],
-        ["ReceiptDateTime", "SequenceNumber", "LineItemSequenceNumber"], time_bucket("ReceiptDateTime"), "row_id",
-    )
+    rows, lane = t["lineitem"].select(*LINE), ["RetailStoreID", "WorkstationID"]
+    order = ["ReceiptDateTime", "SequenceNumber", "LineItemSequenceNumber"]
+    return running_position(rows, lane, order, balanced_bucket(rows, lane, order), "row_id")
 
 
 @query(
