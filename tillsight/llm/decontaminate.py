@@ -2,7 +2,7 @@
 
 The windows of all benchmark items form a hash set. Every word of a document is hashed once, and
 the combined hash of every word window is looked up in a table of slots that the windows of the
-benchmark fill; only windows that fall into a filled slot form their text, and a hit is a match of
+benchmark fill, two each; only windows whose two slots are filled form their text, and a hit is a match of
 the whole window text. Documents are scanned once: what is kept of one is its number of words and
 its few candidates. The window table is broadcast if its bytes, which are measured, are within
 ``BROADCAST_BYTES``; a larger one is joined by shuffling, each window dealt to ``SALTS`` tasks, so
@@ -21,7 +21,7 @@ WINDOW = 10
 CHUNK = 1024
 #: slots for each window of the benchmark, and the largest number of slots; with more windows than
 #: that gives room for, more candidates form their text, and results are the same
-SLOTS_EACH, MOST_SLOTS = 16, 1 << 22
+SLOTS_EACH, MOST_SLOTS = 32, 1 << 22
 #: tasks that share one window where the table of windows is not broadcast
 SALTS = 16
 #: largest window table that is broadcast, in bytes of text and ids
@@ -54,12 +54,17 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return rows.groupBy(F.array_join("w", " ").alias("window"), F.size("w").alias("len")).agg(F.collect_set("item").alias("items"))
 
 
+def slot_of(hashes: Column, number: int, half: int) -> Column:
+    """Slot, counted from 1, of a window by the lower or the upper half of its hash."""
+    return F.shiftright(F.xxhash64(hashes), 32 * half).bitwiseAND(F.lit(number - 1)) + 1
+
+
 def slots(known: DataFrame) -> bytes:
-    """One byte a slot, 1 where the hash of a window of ``known`` falls. The number of slots is
+    """One byte a slot, 1 where half a hash of a window of ``known`` falls. The number of slots is
     a power of two; what reaches the driver is one bit for each."""
     number = 1 << min(max(known.count() * SLOTS_EACH, 2) - 1, MOST_SLOTS - 1).bit_length()
-    slot = F.xxhash64(hashes_of(F.split("window", " "))).bitwiseAND(F.lit(number - 1)) + 1  # counted from 1
-    bits = known.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+    both = [slot_of(hashes_of(F.split("window", " ")), number, half) for half in (0, 1)]
+    bits = known.select(F.explode(F.array(*both)).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
     bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
     filled = {r["bucket"]: r["bits"] for r in bits}
     width = max((len(b) for b in filled.values()), default=0)
@@ -70,8 +75,8 @@ def slots(known: DataFrame) -> bytes:
 
 def hits(rows: DataFrame, known: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``rows`` with ``n_words`` and ``near`` in place of ``text``: the windows (pos, len, window)
-    of the text whose hash falls into a filled slot of ``known``, which all windows have that
-    are in ``known``."""
+    of the text whose hash falls into filled slots of ``known``, as that of every window does
+    that is in ``known``."""
     lengths = sorted(r["len"] for r in known.select("len").distinct().collect())  # at most WINDOW values
     table = slots(known)
     kept = [c for c in rows.columns if c != "text"]
@@ -83,8 +88,9 @@ def hits(rows: DataFrame, known: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
         def some(start: Column) -> Column:
             def filled(i: Column) -> Column:
-                slot = F.xxhash64(F.slice("hashes", i + 1, n)).bitwiseAND(F.lit(len(table) - 1))
-                return F.substring(F.lit(table), (slot + 1).cast("int"), 1) == F.lit(b"\x01")
+                both = [slot_of(F.slice("hashes", i + 1, n), len(table), half).cast("int") for half in (0, 1)]
+                lower, upper = (F.substring(F.lit(table), slot, 1) == F.lit(b"\x01") for slot in both)
+                return lower & upper
 
             return F.filter(F.sequence(start, F.least(start + (chunk - 1), last)), filled)
 
