@@ -211,6 +211,25 @@ def test_followup_at_the_same_minute_needs_a_higher_sequence(spark):
     assert [(r.row_num, r.item_match, r.TrnAmtMatch) for r in got] == [(1, 1.0, 1)]
 
 
+def test_followup_of_many_receipts_at_one_time_makes_no_pairs(spark):
+    """Receipts of one time are met as counts: a voided receipt has a row for each time, not for each receipt."""
+    receipts = [(i, i % 2, "1" if i % 5 == 0 else "0", float(i % 3), [("a", 1.0), ("ab"[i % 2], 2.0)]) for i in range(200)]
+    lines = lines_frame(spark, receipts)
+    voided = [r for r in receipts if r[2] == "1"]
+    candidates = receiptvoid.follow_up_candidates(receiptvoid.item_counts(lines)).count()
+    assert candidates <= len(voided) * receiptvoid.FOLLOW_UPS
+    got = {
+        (r.SequenceNumber, r.row_num): (r.item_match, r.TrnAmtMatch) for r in receiptvoid.followup_matches(lines).collect()
+    }
+    wanted = {}
+    for seq, minute, _, total, items in voided:
+        met = [[r for r in receipts if r[1] == m and r[2] == "0" and (m > minute or r[0] > seq)] for m in range(minute, 2)]
+        for rank, later in enumerate(filter(None, met), 1):
+            hits = sum(a == b for a in items for r in later for b in r[4])
+            wanted[seq, rank] = (hits / 2, sum(4 for r in later if r[3] == total))
+    assert got == wanted
+
+
 def test_tender_codes(spark, make):
     matched = make(
         [receipt(s) | {"row_num": r, "TrnAmtMatch": a} for s, r, a in ((1, 1, 0), (2, 9, 0), (3, 8, 2), (4, 3, 0), (5, 2, 1))],
