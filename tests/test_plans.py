@@ -101,3 +101,15 @@ def test_receipt_void_matching_is_one_pass(spark, sf_dir, no_broadcast):
 
     text = plan(all_queries()["void_followup_match"](spark, sf_dir))
     assert len(re.findall(r"Exchange hashpartitioning", text)) <= 20, text
+
+
+def test_redemptions_are_found_once(spark, sf_dir):
+    """The report reads the redemptions several times; the lines are joined for them but once each."""
+    from tillsight.plans import empties
+
+    t = with_stages(TestTables(spark, sf_dir), "lineitemderived", "classification")
+    found = empties.redemptions(t["classification"], t["header"], t["lineitemderived"], t["return"], t["addon"])
+    totalled = empties.slip_totals(found, t["lineitemderived"])
+    assert found.count() == totalled.count() > 0
+    for df in (found, totalled):
+        assert "Join" not in plan(df) and "Exchange" not in plan(df)
