@@ -113,3 +113,19 @@ def test_redemptions_are_found_once(spark, sf_dir):
     assert found.count() == totalled.count() > 0
     for df in (found, totalled):
         assert "Join" not in plan(df) and "Exchange" not in plan(df)
+
+
+def test_articles_are_cut_to_booked_codes(spark):
+    """A long list of articles is cut to what was booked before lines are joined with it."""
+    from tillsight.plans.masterdata import resolve_item_codes
+
+    items = spark.createDataFrame(
+        [(1, 5, 9, "ST"), (2, 6, 105, "ST"), (3, 6, 9, "ST"), (4, None, None, None)],
+        "n int, POSItemID bigint, ItemID bigint, UnitOfMeasureCode string",
+    )
+    articles = spark.createDataFrame(
+        [(100 + i, i, "KG" if i == 6 else "ST") for i in range(50)], "SAP_ID bigint, EAN bigint, Unit string"
+    )
+    out = resolve_item_codes(items, articles)
+    assert sorted((r.n, r.EAN_Lookup) for r in out.collect()) == [(1, "5"), (2, "5"), (3, " "), (4, None)]
+    assert "LeftSemi" in plan(out)
