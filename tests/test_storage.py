@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +163,29 @@ def test_daily_rule_run(spark, sf_dir, tmp_path):
     assert status.written == [n for n, _ in RULE_STEPS]
     classes = readers.latest_snapshot(spark, str(tmp_path), "classification")
     assert classes.count() == t["header"].count()
+
+
+def test_steps_of_a_batch_run_side_by_side(spark, tmp_path):
+    """Steps that do not read each other are written at the same time, one that reads another waits
+    for it; a failure names the step it began in and leaves nothing of a batch that is placed."""
+    together = threading.Barrier(2, timeout=60)
+    tables = {"t": spark.range(4).selectExpr("id as RetailStoreID", "id * 2 as v")}
+
+    def meets(known):
+        together.wait()
+        return known["t"]
+
+    steps = [("a", meets), ("b", meets), ("c", lambda k: k["a"].join(k["b"], ["RetailStoreID", "v"]))]
+    status = run_batch(tables, 1, str(tmp_path), steps, at_once=2)
+    assert status.error is None and status.written == ["a", "b", "c"]
+    assert readers.latest_snapshot(spark, str(tmp_path), "c").count() == 4
+
+    def broken(known):
+        return known["t"].withColumn("x", F.raise_error(F.lit("boom")).cast("int"))
+
+    place = lambda name, batch: f"{tmp_path}/placed/{name}/{batch}"
+    steps = [("a", broken), ("b", lambda k: k["a"]), ("c", lambda k: k["t"]), ("d", lambda k: k["b"])]
+    status = run_batch(tables, 2, str(tmp_path), steps, place=place, at_once=4)
+    assert status.error.startswith("a: ") and "boom" in status.error and "a" not in status.written
+    assert not list((tmp_path / "placed").rglob("*.parquet"))
+    assert run_batch(tables, 3, str(tmp_path), [("x", lambda k: k["y"]), ("y", lambda k: k["t"])], at_once=2).error.startswith("x: ")
