@@ -57,6 +57,22 @@ def test_bucketed_lines_are_not_moved(spark, sf_dir, no_broadcast, tmp_path):
         spark.sql("DROP DATABASE IF EXISTS till_buckets CASCADE")
 
 
+def test_lines_become_blocks_before_they_move_to_receipts(spark, sf_dir, no_broadcast):
+    """A receipt sends a row for its block of lines, not one for each line; modifiers and headers
+    move once."""
+    t = with_stages(TestTables(spark, sf_dir), "lineitemderived")
+    tables = [t[n] for n in ("lineitemderived", "sale", "return", "loyalty", "addon", "modifier")]
+    text = plan(classify.line_summary(*tables))
+    above = text[: text.index("SortMergeJoin")]
+    below = above[above.rindex("Exchange ") :]
+    assert len(re.findall(r"HashAggregate\(keys=\[RetailStoreID[^]]*, _block#", below)) == 2
+    assert text.count("Exchange ") == 9  # 11 before
+    flags = classify.receipt_flags(t["header"], t["retailheader"], *tables[:3], t["tender"], *tables[3:], t["stores"])
+    assert plan(flags).count("FunctionLogStoreInfoID#") and not re.search(
+        r"Exchange hashpartitioning\([^)]*TransactionType#", plan(flags)
+    )
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     t = TestTables(spark, sf_dir)
     text = plan(t["sale"].select("RetailStoreID", "ExtendedAmount"))

@@ -1,7 +1,7 @@
 """Line tables stored by bucket, so that they are joined without being moved.
 
-All tables of lines are cut into the same number of buckets by the columns that both line keys
-share (``classify.LINE_SPREAD``). The line number is among them, so a receipt with very many lines
+All tables of lines are cut into the same number of buckets by columns that both line keys
+share and the block of lines (``classify.BLOCK_SPREAD``), so a receipt with very many lines
 spreads over all buckets. A join or an aggregate by either line key then reads bucket by bucket;
 only the step to receipts moves rows, and those are partial sums.
 
@@ -15,13 +15,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.plans.classify import LINE_SPREAD, item_facts
+from tillsight.plans.classify import BLOCK_SPREAD, in_blocks, item_facts
 
 #: tables with a row or several for each receipt line
 LINE_TABLES = ("lineitem", "lineitemderived", "items", "loyalty", "modifier", "addon")
 
 
-def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str] = tuple(LINE_SPREAD)) -> DataFrame:
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str] = tuple(BLOCK_SPREAD)) -> DataFrame:
     """``df`` written to ``path`` in ``buckets`` files by ``keys`` and registered as ``name``."""
     dealt = df.repartition(buckets, *keys)
     dealt.write.format("parquet").option("path", path).bucketBy(buckets, *keys).saveAsTable(name)
@@ -39,5 +39,5 @@ def bucketed_lines(
     out = dict(tables) | {"items": item_facts(tables["sale"], tables["return"])}
     for name in LINE_TABLES:
         if name in out:
-            out[name] = write_bucketed(out[name], f"`{database}`.`{name}`", f"{root}/{name}", buckets)
+            out[name] = write_bucketed(in_blocks(out[name]), f"`{database}`.`{name}`", f"{root}/{name}", buckets)
     return out
