@@ -145,3 +145,28 @@ def test_articles_are_cut_to_booked_codes(spark):
     out = resolve_item_codes(items, articles)
     assert sorted((r.n, r.EAN_Lookup) for r in out.collect()) == [(1, "5"), (2, "5"), (3, " "), (4, None)]
     assert "LeftSemi" in plan(out)
+
+
+def test_wide_rows_have_several_tasks_a_core(spark, sf_dir, tmp_path):
+    from tillsight.sources.testdata import TestTables
+    from tillsight.sources.widedata import wide_table
+
+    wide_table(TestTables(spark, sf_dir), "lineitem").write.parquet(f"{tmp_path}/wide")
+    assert len(list((tmp_path / "wide").glob("part-*.parquet"))) >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_wide_texts_follow_the_rule_of_the_leaf(spark):
+    from tillsight.sources.widedata import _looked_up, _places, for_spark, leaf
+
+    receipts = spark.range(0, 1200).selectExpr("id as k", "sequence(1L, id % 18) as ns").where("k % 18 > 0")
+    df = receipts.selectExpr("*", *[f"{for_spark(e)} as {c}" for c, e in _places("ns").items()])
+    entries = "case when (k + n) % 3 = 0 then cast(array() as array<bigint>) else sequence(1L, (k + n) % 3) end"
+    for kind in ("long", "double", "boolean", "string"):
+        once, twice = (for_spark(leaf("Amount", kind, "tender", "Sale", level)) for level in (1, 2))
+        found = _looked_up("Amount", kind, "Sale")
+        bad = df.where(
+            f"not (transform(ns_{kind}, i -> {found}) <=> transform(ns, n -> cast({once} as string)) and "
+            f"transform(ns_m_{kind}, e -> transform(e, i -> {found})) <=> "
+            f"transform(ns, n -> transform({entries}, m -> cast({twice} as string))))"
+        )
+        assert bad.count() == 0, kind
