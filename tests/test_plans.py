@@ -170,3 +170,14 @@ def test_wide_texts_follow_the_rule_of_the_leaf(spark):
             f"transform(ns, n -> transform({entries}, m -> cast({twice} as string))))"
         )
         assert bad.count() == 0, kind
+
+
+def test_lines_are_not_sorted_before_they_move(spark, sf_dir, no_broadcast):
+    from tillsight.plans.ingest import BUILDERS
+    from tillsight.sources.testdata import TestTables
+    from tillsight.sources.widedata import stored_wide_table
+
+    lines = plan(BUILDERS["tender"](stored_wide_table(TestTables(spark, sf_dir), "tender"))).splitlines()
+    moves = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    assert len(moves) == 1, lines
+    assert not any(w in x for x in lines[moves[0] :] for w in ("Sort ", "WindowGroupLimit"))
