@@ -59,6 +59,14 @@ def test_simhash_blocks(spark):
         assert all(((a ^ b) & (2**64 - 1)).bit_count() <= 3 for a, b in edges.collect())
 
 
+def test_variants_are_not_broadcast(spark):
+    """Spark takes the 66 keys of a fingerprint for one row; their join must not go through the driver."""
+    edges = simhash.links(spark.range(100).select(F.col("id").alias("fp")))
+    assert "BroadcastExchange" not in edges._jdf.queryExecution().executedPlan().toString()
+    edges.collect()
+    assert "BroadcastExchange" not in edges._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_of_each(spark):
     """One row of each component, with the smallest id there, also where an id names several texts."""
     docs = edge.frame(spark)

@@ -124,7 +124,8 @@ def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     plain = (F.shiftrightunsigned("key", SEGMENT) % (SEGMENT + 1)) == 0
     shared = sizes.where((F.col("n") > 1) & (plain | (F.col("lo") != F.col("hi")))).select("key", "n")
     blocks = F.ceil(F.col("n") / block).cast("int")
-    rows = index.join(shared, "key").select("key", "fp", blocks.alias("blocks"))
+    # Spark sizes both sides by the fingerprints, not by their 66 keys each, and would broadcast them
+    rows = index.join(shared.hint("merge"), "key").select("key", "fp", blocks.alias("blocks"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # block i meets every block j: the cell (least, greatest)
     cells = rows.select("key", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
