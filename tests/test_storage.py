@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +190,21 @@ def test_steps_of_a_batch_run_side_by_side(spark, tmp_path):
     assert status.error.startswith("a: ") and "boom" in status.error and "a" not in status.written
     assert not list((tmp_path / "placed").rglob("*.parquet"))
     assert run_batch(tables, 3, str(tmp_path), [("x", lambda k: k["y"]), ("y", lambda k: k["t"])], at_once=2).error.startswith("x: ")
+
+
+def test_shuffle_files_go_with_their_execution(spark, tmp_path):
+    """What a write has shuffled is removed when it ends; a frame can still be read again."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        files = blocks.getAllFiles().iterator()
+        return {f for f in iter(lambda: files.next().getName() if files.hasNext() else "", "") if f.startswith("shuffle_")}
+
+    before = shuffled()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    df.write.parquet(f"{tmp_path}/counts")
+    until = time.monotonic() + 20
+    while (left := shuffled() - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
+    assert sorted(df.collect()) == sorted(df.collect()) == sorted(spark.read.parquet(f"{tmp_path}/counts").collect())
